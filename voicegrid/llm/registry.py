@@ -1,13 +1,17 @@
 """Queries of the operators, and SQL where it can express them."""
 
-from voicegrid.llm import mixing, neighbours
+from voicegrid.llm import mixing, neighbours, quality_rules, warc
 
 QUERIES = {
+    "op2_quality_rules": quality_rules.op2,
+    "op3_warc": warc.op3,
     "op7_mixing": mixing.op7,
     "op9_neighbours": neighbours.op9,
 }
 
 SQL = {
+    "op2_quality_rules": quality_rules.SQL,
+    "op3_warc": warc.SQL,
     "op7_mixing": mixing.SQL,
     "op9_neighbours": neighbours.SQL,
 }
