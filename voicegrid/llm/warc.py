@@ -169,7 +169,7 @@ def index(spark: SparkSession, at: str) -> DataFrame:
 
 def frames(spark: SparkSession, at: str, entries: DataFrame | None = None) -> DataFrame:
     """Each frame that holds some of the index entries (all of them by default), with the offsets of those entries."""
-    return (index(spark, at) if entries is None else entries).groupBy("bundle", "frame").agg(F.collect_set("offset").alias("offsets"))
+    return (index(spark, at) if entries is None else entries).groupBy("bundle", "frame").agg(F.collect_set("offset").alias("offsets")).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "bundle", "frame")
 
 
 def read(spark: SparkSession, at: str, entries: DataFrame | None = None) -> DataFrame:
