@@ -1,12 +1,13 @@
 """Queries of the operators, and SQL where it can express them."""
 
-from voicegrid.llm import language, mixing, neighbours, quality_classifier, quality_rules, warc
+from voicegrid.llm import language, mixing, near_duplicates, neighbours, quality_classifier, quality_rules, warc
 
 QUERIES = {
     "op1_language": language.op1,
     "op2_quality_rules": quality_rules.op2,
     "op3_warc": warc.op3,
     "op4_quality_classifier": quality_classifier.op4,
+    "op6_near_duplicates": near_duplicates.op6,
     "op7_mixing": mixing.op7,
     "op9_neighbours": neighbours.op9,
 }
