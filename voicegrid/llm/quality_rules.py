@@ -45,7 +45,9 @@ def trusted_ids(labels: DataFrame, most: int = TRUSTED) -> DataFrame:
 def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str) -> list[int]:
     """For each bin, the log of trusted over raw probability in millionths."""
     marked = docs.select(F.col(id_col).alias("_d"), F.col(text_col).alias("_t")).join(F.broadcast(trusted.withColumn("_g", F.lit(1))), F.col("_d") == F.col("_id"), "left")
-    bins = features(marked.select("_t", F.coalesce("_g", F.lit(0)).alias("_g")), "_t").select("_g", F.explode("_f").alias("bin")).groupBy("bin").agg(F.count("*").alias("n"), F.sum("_g").alias("g"))
+    bins = features(marked.select("_t", F.coalesce("_g", F.lit(0)).alias("_g")), "_t")
+    # explode() would have the optimiser compute the array in a filter first; explode_outer() doesn't
+    bins = bins.select("_g", F.explode_outer("_f").alias("bin")).filter("bin is not null").groupBy("bin").agg(F.count("*").alias("n"), F.sum("_g").alias("g"))
     n, g = [0] * BINS, [0] * BINS
     for r in bins.collect():
         n[r["bin"]], g[r["bin"]] = r["n"], r["g"]
