@@ -1,6 +1,6 @@
 """Queries of the operators, and SQL where it can express them."""
 
-from voicegrid.llm import language, mixing, near_duplicates, neighbours, pii, quality_classifier, quality_rules, warc
+from voicegrid.llm import language, mixing, near_duplicates, neighbours, pieces, pii, quality_classifier, quality_rules, warc
 
 QUERIES = {
     "op1_language": language.op1,
@@ -8,6 +8,7 @@ QUERIES = {
     "op2_quality_rules": quality_rules.op2,
     "op3_warc": warc.op3,
     "op4_quality_classifier": quality_classifier.op4,
+    "op5_pieces": pieces.op5,
     "op6_near_duplicates": near_duplicates.op6,
     "op7_mixing": mixing.op7,
     "op9_neighbours": neighbours.op9,
