@@ -20,6 +20,8 @@ Rows that repeat are encoded alike.
 
 import heapq
 import re
+import struct
+from collections import defaultdict
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -33,7 +35,7 @@ from voicegrid.llm.common import table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-CACHE, BLOCK = 400_000, 1 << 20
+CACHE, BLOCK = 300_000, 1 << 20
 UNIGRAM, BPE = 1, 2
 UNKNOWN_PENALTY = 10.0
 
@@ -63,6 +65,17 @@ def fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
             at += n
 
 
+class Packed(dict):
+    """Ids of pieces, as bytes of 32-bit integers; of other characters those of their UTF-8 bytes, or the unknown piece's."""
+
+    def __init__(self, of: "Vocabulary"):
+        self.of = of
+        super().__init__({p: struct.pack("=i", i) for p, i in of.id.items()})
+
+    def __missing__(self, char: str) -> bytes:
+        return b"".join(struct.pack("=i", self.of.bytes[b]) for b in char.encode("utf-8", "replace")) if self.of.bytes else struct.pack("=i", self.of.unknown)
+
+
 class Vocabulary:
     """Pieces of a model, and the encoding of words."""
 
@@ -79,7 +92,6 @@ class Vocabulary:
         usual = [i for i in range(n) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))]
         self.id = {sp.id_to_piece(i): i for i in usual}
         self.score = {p: sp.get_score(i) for p, i in self.id.items()}
-        self.longest = max(map(len, self.id))
         self.unknown, self.unknown_score = sp.unk_id(), min(self.score.values(), default=0.0) - UNKNOWN_PENALTY
         self.bytes = {int(sp.id_to_piece(i)[1:-1], 16): i for i in range(n) if sp.is_byte(i)}
         text = {i: sp.id_to_piece(i).replace(MARK, " ").encode() for i in usual}
@@ -87,25 +99,19 @@ class Vocabulary:
         cut = all(MARK not in p.lstrip(MARK) and ("\n" not in p or p == "\n") for p in self.id)
         self.word = re.compile(rf"\n|{MARK}*[^{MARK}\n]+|{MARK}+" if cut else r"(?s).+")
         self.halves: dict[str, tuple[str, str] | None] = {}
-        self.agree: dict[tuple[str, str], bool] = {}
+        self.agree: dict[str, dict[str, bool]] = defaultdict(dict)
+        self.agreed = 0
+        #: Ends of pieces, and whether they are pieces themselves.
+        self.tails = {p[i:]: False for p in self.id for i in range(len(p))} | dict.fromkeys(self.id, True)
+        self.packed = Packed(self)
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def normalised(self, text: str) -> str:
         if not text:
             return ""
         return MARK + text.replace(" ", MARK) if self.plain else self.lib.normalize(text)
 
-    def ids(self, pieces: list[str]) -> bytes:
-        out: list[int] = []
-        for p in pieces:
-            if (i := self.id.get(p)) is not None:
-                out.append(i)
-            elif self.bytes:
-                out += [self.bytes[b] for b in p.encode("utf-8", "replace")]
-            else:
-                out.append(self.unknown)
-        return np.array(out, np.int32).tobytes()
-
     def merged(self, word: str, stop: int = 1) -> list[str]:
         """BPE by definition: the pair with the best score merges, the first of equals, while there are more than `stop`."""
         part, left, right = list(word), list(range(-1, len(word) - 1)), list(range(1, len(word) + 1))
@@ -140,56 +146,60 @@ class Vocabulary:
 
     def neighbours(self, a: str, b: str) -> bool:
         """Whether BPE leaves these two pieces apart: merges undone from the last, none across the border comes before."""
-        if (known := self.agree.get((a, b))) is not None:
-            return known
-        x, y, limit, out = a, b, None, True
+        x, y, limit = a, b, None
         while True:
             across = self.score.get(x + y)
             # a merge across wins by a better score than the side's, or by an equal one if it lies to the left of it
             if across is not None and (limit is None or across > limit[0] or across == limit[0] and limit[1]):
-                out = False
-                break
+                return False
             sx, sy = self.split(x), self.split(y)
             if sx is None and sy is None:
-                break
+                return True
             if sy is None or sx is not None and self.score[x] < self.score[y]:
                 limit, x = (self.score[x], False), sx[1]
             else:
                 limit, y = (self.score[y], True), sy[0]
-        if len(self.agree) >= 2 * CACHE:
-            self.agree.clear()
-        self.agree[a, b] = out
-        return out
+
+    def ending(self, word: str, j: int) -> list[tuple[int, str]]:
+        """Start and string of the pieces that end word[:j], longest last; the last character, if there are none."""
+        out, i, tails = [], j - 1, self.tails
+        while i >= 0 and (whole := tails.get(p := word[i:j])) is not None:
+            if whole:
+                out.append((i, p))
+            i -= 1
+        return out or [(j - 1, word[j - 1])]
 
     def step_bpe(self, word: str, j: int, states: list) -> str:
         """The last piece of the encoding of word[:j]; states[i] is that of word[:i]."""
-        for i in range(max(j - self.longest, 0), j):
-            p = word[i:j]
-            if p in self.id and (i == 0 or states[i] not in self.id or self.neighbours(states[i], p)):
+        for i, p in reversed(self.ending(word, j)):
+            if i == 0:
+                return p
+            known = self.agree[states[i]]
+            if (yes := known.get(p)) is None:
+                self.agreed += 1
+                yes = known[p] = states[i] not in self.id or p not in self.id or self.neighbours(states[i], p)
+            if yes:
                 return p
         return word[j - 1]
 
     def step_unigram(self, word: str, j: int, states: list) -> tuple[float, str]:
         """The best score of word[:j] and its last piece."""
-        best = None
-        for i in range(max(j - self.longest, 0), j):
-            p = word[i:j]
-            s = self.score.get(p)
-            if s is None:
-                if i < j - 1:
-                    continue
-                s = self.unknown_score
-            if best is None or states[i][0] + s > best[0]:
-                best = (states[i][0] + s, p)
-        return best
+        return max(((states[i][0] + self.score.get(p, self.unknown_score), p) for i, p in self.choices(word, j)), key=lambda x: x[0])
+
+    def choices(self, word: str, j: int) -> list[tuple[int, str]]:
+        found = self.ending(word, j)
+        return found if found[0][0] == j - 1 else [(j - 1, word[j - 1]), *found]
 
     def encode_words(self, words: list[str]) -> dict[str, bytes]:
         """Ids of sorted distinct words, as bytes of 32-bit integers."""
-        bpe = self.kind == BPE
+        bpe, ids = self.kind == BPE, self.packed.__getitem__
         step, states, last, out = self.step_bpe if bpe else self.step_unigram, ["" if bpe else (0.0, "")], "", {}
+        if self.agreed > 2 * CACHE:
+            self.agree.clear()
+            self.agreed = 0
         for word in words:
             if bpe and MARK + MARK in word:
-                out[word] = self.ids(self.merged(word))
+                out[word] = b"".join(map(ids, self.merged(word)))
                 continue
             same, most = 0, min(len(last), len(word))
             while same < most and last[same] == word[same]:
@@ -202,15 +212,18 @@ class Vocabulary:
                 p = states[j] if bpe else states[j][1]
                 pieces.append(p)
                 j -= len(p)
-            out[word] = self.ids(pieces[::-1])
+            out[word] = b"".join(map(ids, pieces[::-1]))
         return out
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [self.word.findall(self.normalised(t)) for t in texts]
-        need = set().union(*split)
-        if len(self.cache) + len(need) > CACHE:
-            self.cache.clear()
-        self.cache |= self.encode_words(sorted(need - self.cache.keys()))
+        need = set().union(*split) - self.cache.keys()
+        if len(self.cache) + len(need) > CACHE:  # what was in use lately stays for a while
+            self.older, self.cache = self.cache, {}
+            need = set().union(*split)
+        again = need & self.older.keys()
+        self.cache |= {w: self.older[w] for w in again}
+        self.cache |= self.encode_words(sorted(need - again))
         return [np.frombuffer(b"".join(map(self.cache.__getitem__, w)), np.int32) for w in split]
 
     def decode(self, ids: np.ndarray) -> str:
