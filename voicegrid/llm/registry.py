@@ -1,6 +1,6 @@
 """Queries of the operators, and SQL where it can express them."""
 
-from voicegrid.llm import language, mixing, near_duplicates, neighbours, pieces, pii, quality_classifier, quality_rules, warc
+from voicegrid.llm import language, line_dedup, mixing, near_duplicates, neighbours, pieces, pii, quality_classifier, quality_rules, warc
 
 QUERIES = {
     "op1_language": language.op1,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_pieces": pieces.op5,
     "op6_near_duplicates": near_duplicates.op6,
     "op7_mixing": mixing.op7,
+    "op8_line_dedup": line_dedup.op8,
     "op9_neighbours": neighbours.op9,
 }
 
