@@ -147,16 +147,17 @@ class Profiles:
 def predict(df: DataFrame, profiles: dict[str, np.ndarray], text_col: str = "text") -> DataFrame:
     """The rows with lang_pred and score instead of the text. No shuffle."""
     keep = [c for c in df.columns if c not in (text_col, "lang_pred", "score")]
+    rows = df.select(F.struct(*keep).alias("_row"), F.col(text_col).alias("_text"))
     shared = df.sparkSession.sparkContext.broadcast(profiles)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Profiles(shared.value)
         for b in batches:
             found = [known.nearest(ranked(*counted(t.as_py()))) for t in b.column("_text")]
-            yield pa.record_batch([*(b.column(c) for c in keep), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], names=[*keep, "lang_pred", "score"])
+            yield pa.record_batch([b.column("_row"), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], names=["_row", "lang_pred", "score"])
 
-    schema = df.select(*keep).schema.add("lang_pred", "string").add("score", "double")
-    return df.select(*keep, F.col(text_col).alias("_text")).mapInArrow(run, schema)
+    schema = rows.select("_row").schema.add("lang_pred", "string").add("score", "double")
+    return rows.mapInArrow(run, schema).select("_row.*", "lang_pred", "score")
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType
 
 from voicegrid.llm.common import table
@@ -272,13 +273,14 @@ def encode(docs: DataFrame, model: str = MODEL, text_col: str = "text", check: b
                 if check:
                     columns.append(pa.array([known.decode(x) == texts[i].replace(MARK, " ") for i, x in zip(part, found, strict=True)]))
                 rows = b.take(pa.array(part))
-                yield pa.record_batch([*(rows.column(c) for c in keep), *columns], names=[*keep, *own])
+                yield pa.record_batch([rows.column("_row"), *columns], names=["_row", *own])
             if none := [i for i, t in enumerate(texts) if t is None]:
                 rows = b.take(pa.array(none))
-                yield pa.record_batch([*(rows.column(c) for c in keep), pa.array([0] * len(none), pa.int64()), pa.nulls(len(none), pa.list_(pa.int32())), *[pa.nulls(len(none), pa.bool_())] * check], names=[*keep, *own])
+                yield pa.record_batch([rows.column("_row"), pa.array([0] * len(none), pa.int64()), pa.nulls(len(none), pa.list_(pa.int32())), *[pa.nulls(len(none), pa.bool_())] * check], names=["_row", *own])
 
-    schema = docs.select(*keep).schema.add("n_tokens", LongType()).add("ids", ArrayType(IntegerType()))
-    return docs.withColumn("_text", docs[text_col]).select(*keep, "_text").mapInArrow(run, schema.add("round_trip", BooleanType()) if check else schema)
+    rows = docs.select(F.struct(*keep).alias("_row"), F.col(text_col).alias("_text"))
+    schema = rows.select("_row").schema.add("n_tokens", LongType()).add("ids", ArrayType(IntegerType()))
+    return rows.mapInArrow(run, schema.add("round_trip", BooleanType()) if check else schema).select("_row.*", *own)
 
 
 def decode(df: DataFrame, model: str = MODEL, ids_col: str = "ids", to: str = "text") -> DataFrame:
@@ -290,9 +292,10 @@ def decode(df: DataFrame, model: str = MODEL, ids_col: str = "ids", to: str = "t
         known = vocabulary(shared.value)
         for b in batches:
             texts = [None if x is None else known.decode(np.array(x, np.int32)) for x in b.column("_ids").to_pylist()]
-            yield pa.record_batch([*(b.column(c) for c in keep), pa.array(texts, pa.string())], names=[*keep, to])
+            yield pa.record_batch([b.column("_row"), pa.array(texts, pa.string())], names=["_row", to])
 
-    return df.withColumn("_ids", df[ids_col]).select(*keep, "_ids").mapInArrow(run, df.select(*keep).schema.add(to, StringType()))
+    rows = df.select(F.struct(*keep).alias("_row"), F.col(ids_col).alias("_ids"))
+    return rows.mapInArrow(run, rows.select("_row").schema.add(to, StringType())).select("_row.*", to)
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:

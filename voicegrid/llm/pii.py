@@ -167,15 +167,16 @@ def sanitised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     base = lambda k: F.transform(_spans_of(k), lambda x: mark(x, F.lit(f"[{k.upper()}]")))
     marks = F.array_sort(F.concat(*map(base, KINDS), F.transform(_spans_of("term"), lambda x: mark(x, F.coalesce(x["m"], F.lit(""))))))
     own = own.select(F.col("doc_id").alias("_d"), F.col("th").alias("_h"), marks.alias("_m")).filter(F.size("_m") > 0).dropDuplicates(["_d", "_h"])
-    rows = docs.withColumn("_th", F.xxhash64(text_col)).join(own, F.col(id_col).eqNullSafe(F.col("_d")) & (F.col("_th") == F.col("_h")), "left")
-    text = F.col(text_col)
+    rows = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_th"))
+    rows = rows.join(own, F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_th") == F.col("_h")), "left")
+    text = F.col(f"_row.{text_col}")
 
     def step(acc: Column, x: Column) -> Column:
         out = F.concat(acc["out"], F.substring(text, acc["at"] + 1, x["s"] - acc["at"]), x["m"])
         return F.when(x["s"] >= acc["at"], F.struct((-x["e"]).alias("at"), out.alias("out"))).otherwise(acc)
 
     clean = F.aggregate("_m", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    return rows.withColumn(text_col, F.when(F.col("_m").isNotNull(), clean).otherwise(text)).select(*docs.columns)
+    return rows.select(*[(F.when(F.col("_m").isNotNull(), clean).otherwise(text) if c == text_col else F.col(f"_row.{c}")).alias(c) for c in docs.columns])
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:

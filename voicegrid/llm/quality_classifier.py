@@ -114,6 +114,7 @@ def score(df: DataFrame, weights: np.ndarray, text_col: str = "text") -> DataFra
     """The rows with `score` instead of the text."""
     shared = df.sparkSession.sparkContext.broadcast(weights.astype(np.float32))
     keep = [c for c in df.columns if c not in (text_col, "score")]
+    rows = df.select(F.struct(*keep).alias("_row"), F.col(text_col).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = shared.value.astype(np.float64)
@@ -122,10 +123,10 @@ def score(df: DataFrame, weights: np.ndarray, text_col: str = "text") -> DataFra
             for i, text in enumerate(b.column("_text")):
                 at, x = features(text.as_py())
                 out[i] = logistic(w[at] @ x)
-            yield pa.record_batch([*(b.column(c) for c in keep), pa.array(out)], names=[*keep, "score"])
+            yield pa.record_batch([b.column("_row"), pa.array(out)], names=["_row", "score"])
 
-    schema = df.select(*keep).schema.add("score", "double")
-    return df.select(*keep, F.col(text_col).alias("_text")).mapInArrow(run, schema)
+    schema = rows.select("_row").schema.add("score", "double")
+    return rows.mapInArrow(run, schema).select("_row.*", "score")
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
