@@ -1,6 +1,7 @@
 """What several operators share."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,9 +25,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def saved(df: DataFrame) -> DataFrame:
-    """The rows, written to the shared folder once; later steps read them from there, whatever executor is lost."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """The rows, written to the shared folder once as Parquet; later steps read them from there, whatever executor is lost."""
+    at = f"{shared_dir(df.sparkSession)}/saved-{uuid.uuid4()}"
+    df.write.parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)
 
 
 def word_count(text: Column) -> Column:

@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from voicegrid.llm.common import saved
 from voicegrid.llm.components import components
 
-#: Rounds in which nodes are compared with one node of each bucket.
-ROUNDS = 3
-
 
 def buckets(nodes: DataFrame) -> DataFrame:
     """band, key and x of each node (key, x, bands) that shares a band with others."""
@@ -19,10 +16,10 @@ def buckets(nodes: DataFrame) -> DataFrame:
     return saved(member.join(shared, F.col("band") == F.col("_b"), "left_semi").select("band", "key", "x"))
 
 
-def connect(met: DataFrame, fits: Callable[[Column, Column], Column], verify: Callable[[DataFrame], DataFrame], rest: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def connect(met: DataFrame, fits: Callable[[Column, Column], Column], verify: Callable[[DataFrame], DataFrame], rest: Callable[[DataFrame], DataFrame] | None = None, rounds: int = 1) -> DataFrame:
     """Components (node, root) of all links between members (band, key, x) of the same bucket.
 
-    In a few rounds, members are compared with one member of each of their buckets, another one in each bucket and round;
+    In `rounds` rounds, members are compared with one member of each of their buckets, another one in each bucket and round;
     after the first, only those outside that one's component are. Then, where links have left several components in a bucket,
     each member outside its first component is compared with all members of other components. So each two members of a
     bucket are compared or already connected, while a bucket of members that are alike costs a few comparisons a member.
@@ -32,13 +29,13 @@ def connect(met: DataFrame, fits: Callable[[Column, Column], Column], verify: Ca
     component); by default a join does.
     """
     found, part = None, None
-    for i in range(ROUNDS):
+    for i in range(rounds):
         named = met.withColumn("root", F.col("key")) if part is None else _named(met, part)
         hub = named.groupBy(F.col("band").alias("_b")).agg(F.min_by(F.struct("key", "x", "root"), F.struct(F.xxhash64("key", "band", F.lit(i)), "key")).alias("hub"))
         pairs = named.join(hub, F.col("band") == F.col("_b")).filter((F.col("root") != F.col("hub.root")) & fits(F.col("x"), F.col("hub.x")))
         pairs = saved(pairs.select(F.least("key", "hub.key").alias("a"), F.greatest("key", "hub.key").alias("b")).distinct())
         if found is not None and not pairs.head(1):
-            return part
+            break
         links = saved(verify(pairs))
         if found is not None and not links.head(1):
             break
@@ -53,7 +50,7 @@ def connect(met: DataFrame, fits: Callable[[Column, Column], Column], verify: Ca
 
 def _named(met: DataFrame, part: DataFrame) -> DataFrame:
     of = part.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
-    return saved(met.join(of, F.col("key") == F.col("_node"), "left").select("band", "key", "x", F.coalesce("_root", "key").alias("root")))
+    return met.join(of, F.col("key") == F.col("_node"), "left").select("band", "key", "x", F.coalesce("_root", "key").alias("root"))
 
 
 def _joined(fits: Callable[[Column, Column], Column]) -> Callable[[DataFrame], DataFrame]:

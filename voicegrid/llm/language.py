@@ -100,17 +100,17 @@ def learn(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str
     """Profiles by language."""
     order = md5_bits(F.coalesce(F.col(id_col).cast("string"), F.lit("null")))
     rows = docs.filter(usable & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    if rows.select(lang_col).distinct().count() > LANGUAGES:
+    rows = rows.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), order.alias("place"))
+    if rows.select("lang").distinct().count() > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages")
-    picked = rows.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_l"), order.alias("_o"))
-    picked = picked.withColumn("_n", F.row_number().over(Window.partitionBy("_l").orderBy("_o", "_id"))).filter(F.col("_n") <= SAMPLE)
-    limits = picked.groupBy("_l").agg(F.max("_o").alias("_most"))
-    texts = rows.withColumn("_o", order).join(F.broadcast(limits), F.col(lang_col) == F.col("_l")).filter("_o <= _most").select("_l", F.col(text_col).alias("_t"))
+    picked = rows.select("lang", "place", F.row_number().over(Window.partitionBy("lang").orderBy("place", "id")).alias("n")).filter(F.col("n") <= SAMPLE)
+    limits = picked.groupBy(F.col("lang").alias("of")).agg(F.max("place").alias("most"))
+    texts = rows.join(F.broadcast(limits), F.col("lang") == F.col("of")).filter("place <= most").select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             by: dict[str, list] = {}
-            for lang, text in zip(b.column("_l").to_pylist(), b.column("_t").to_pylist(), strict=True):
+            for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist(), strict=True):
                 by.setdefault(lang, []).append(counted(text))
             for lang, found in by.items():
                 codes, n = added(found)
