@@ -82,6 +82,21 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     return df.orderBy("position", "h", "doc_id").select("doc_id", "size", "source", "source_size", "target", "taken", "position")
 
 
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
+    """Rows of `docs`, whole, as often as the mix takes them, in training order.
+
+    A row whose last copy is taken in part has that copy if the part is half of it or more. Rows without words stay as they
+    are, once. Rows are matched by id, source and size; rows that share all three share what is taken of them.
+    """
+    taken = mix(docs, id_col, text_col, source_col, **how)
+    per = taken.groupBy("doc_id", "source", "size").agg(F.sum("taken").alias("taken"), F.count("*").alias("rows"), F.min("position").alias("position"))
+    rows = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_id"), F.col(source_col).alias("_source"), word_count(F.col(text_col)).alias("_size"))
+    both = rows.join(per, F.col("_id").eqNullSafe(F.col("doc_id")) & F.col("_source").eqNullSafe(F.col("source")) & (F.col("_size") == F.col("size")))
+    copies = F.when(F.col("size") == 0, 1).otherwise(F.floor(F.col("taken") / F.col("rows") / F.col("size") + 0.5)).cast("int")
+    again = both.select("_row", "position", F.explode(F.array_repeat(F.lit(0), copies)).alias("_copy"))
+    return again.orderBy("position", F.xxhash64("_row")).select("_row.*")
+
+
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).drop("source")
 
