@@ -31,6 +31,12 @@ def saved(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(at)
 
 
+def shielded(row: Column, values: dict[str, Column], df: DataFrame) -> DataFrame:
+    """The fields of the struct `row` and the values. A generator in between keeps later filters from repeating their expressions."""
+    made = F.explode_outer(F.array(F.struct(*[v.alias(k) for k, v in values.items()])))
+    return df.select(row.alias("_row"), made.alias("_made")).select("_row.*", "_made.*")
+
+
 def word_count(text: Column) -> Column:
     """Words of a text; 0 if null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")

@@ -18,7 +18,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voicegrid.llm.common import SPACE, md5_bits, table
+from voicegrid.llm.common import SPACE, md5_bits, shielded, table
 
 BINS, PAIR, UNIT = 10_007, 65_599, 1_000_000
 TRUSTED = 20_000
@@ -91,7 +91,7 @@ def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
     total = F.aggregate("_f", F.lit(0).cast("bigint"), lambda a, f: a + F.get(ratios, f.cast("int")))
     df = df.withColumn("score", F.round(F.when(F.size("_f") > 0, total / F.size("_f") / UNIT).otherwise(0.0), 6))
     df = df.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
-    return df.select("_row.*", *own)
+    return shielded(F.col("_row"), {c: F.col(c) for c in own}, df)
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
