@@ -36,7 +36,7 @@ from voicegrid.llm.common import table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-CACHE, BLOCK = 300_000, 1 << 20
+CACHE, BLOCK = 200_000, 1 << 20
 UNIGRAM, BPE = 1, 2
 UNKNOWN_PENALTY = 10.0
 

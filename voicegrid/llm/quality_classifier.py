@@ -27,7 +27,7 @@ BITS, PAIR = 18, 65_599
 SAMPLE, EPOCHS = 12_000, 4
 ALPHA, BETA, L1, L2 = 8.0, 1.0, 0.02, 0.0
 TOKENS = re.compile(r"\w+|[^\w\s]+")
-CACHE = 1_000_000
+CACHE = 300_000
 
 
 class Hashes(dict):
