@@ -9,10 +9,10 @@ falls on one of BANDS * ROWS coordinates, and the one of least rank is kept for
 probability of their similarity, and a signature takes the same number of darts for any length. Texts that agree on a whole
 band meet. At a similarity of 0.8 the chance that no band agrees is 5e-8.
 
-Copies, equal after normalisation, become one node first. In each band's bucket all nodes are compared with the least one;
-then, where links have left several components in a bucket, those outside the least node's component are compared with all
-nodes of other components in it. So each two nodes that share a bucket are compared or already connected, and a bucket of
-near copies costs a comparison a member. Pairs whose sizes rule a link out aren't compared.
+Copies, equal after normalisation, become one node first. Each two nodes that share a band's bucket are compared or already
+connected (see grouping); a bucket of near copies costs a few comparisons a member. Pairs whose sizes rule a link out aren't
+compared, nor are pairs whose signatures agree on fewer than AGREE coordinates, which 1 in 70,000 pairs of
+a similarity of just 0.8 does, and far fewer above.
 
 No text without a word is linked, except to its exact copies. Null texts are classes of their own. Rows that repeat an id
 and a text are one; null ids are kept apart by their text. A class is named by its smallest id; null if none has one.
@@ -20,23 +20,27 @@ and a text are one; null ids are kept apart by their text. A class is named by i
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
 from voicegrid.llm.common import saved, table
-from voicegrid.llm.components import components
+from voicegrid.llm.grouping import buckets, connect
 
 WORDS, LIKE = 5, 0.8
+#: Coordinates on which linked texts agree: 4 standard deviations under what 0.8 of 128 lets expect.
+AGREE = 84
+TILE, SLICE = 1024, 16
 BANDS, ROWS = 32, 4
 K = BANDS * ROWS
 #: Darts a signature expects: so many that few signatures miss a coordinate at first.
-DARTS = K * (np.log(K) + 4)
-CACHE = 1_000_000
+DARTS = K * (np.log(K) + 3)
+CACHE = 150_000
 TOKENS = re.compile(r"[^\W_]+")
 MULT, GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x9E3779B97F4A7C15)
 
@@ -107,6 +111,11 @@ def signature(codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
         reach *= 2
 
 
+def low(sig: np.ndarray) -> bytes:
+    """The low byte of each coordinate."""
+    return sig.astype(np.uint8).tobytes()
+
+
 def bands(sig: np.ndarray) -> np.ndarray:
     """A hash for each band, its number included."""
     out = np.arange(BANDS, dtype=np.uint64)
@@ -116,22 +125,29 @@ def bands(sig: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, th (a hash of the text), key (of the normalised text), n (its shingles) and bands of each text that isn't null."""
+    """doc_id, th (a hash of the text), key (of the normalised text), n (its shingles), bands and sig of each text that isn't null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys, sizes, found = [], [], []
+            keys, sizes, found, sigs = [], [], [], []
             for text in b.column("_t"):
                 text = text.as_py()
                 w = words(text)
                 keys.append(xxhash.xxh3_128_digest((" ".join(w) if w else f"\0{text}").encode("utf-8", "surrogatepass")))
-                codes, counts = shingles(w) if w else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+                if not w:
+                    sizes.append(0)
+                    found.append(np.zeros(0, np.int64))
+                    sigs.append(b"")
+                    continue
+                codes, counts = shingles(w)
+                sig = signature(codes, counts)
                 sizes.append(int(counts.sum()))
-                found.append(bands(signature(codes, counts)) if w else np.zeros(0, np.int64))
-            yield pa.record_batch([b.column("doc_id"), b.column("th"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "th", "key", "n", "bands"])
+                found.append(bands(sig))
+                sigs.append(low(sig))
+            yield pa.record_batch([b.column("doc_id"), b.column("th"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(found, pa.list_(pa.int64())), pa.array(sigs, pa.binary())], names=["doc_id", "th", "key", "n", "bands", "sig"])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("_t")).filter("_t is not null")
-    schema = rows.select("doc_id", "th").schema.add("key", "binary").add("n", "long").add("bands", ArrayType(LongType()))
+    schema = rows.select("doc_id", "th").schema.add("key", "binary").add("n", "long").add("bands", ArrayType(LongType())).add("sig", "binary")
     return rows.mapInArrow(run, schema)
 
 
@@ -141,10 +157,10 @@ def verified(pairs: DataFrame, texts: DataFrame, like: float = LIKE) -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep, last, left = [], None, None
-            for a, x, y in zip(batch.column("a").to_pylist(), batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
+            for a, x, y in zip(batch.column("a").to_pylist(), batch.column("x"), batch.column("y"), strict=True):
                 if a != last:
-                    last, left = a, shingles(words(x))
-                keep.append(similarity(left, shingles(words(y))) >= like)
+                    last, left = a, shingles(words(x.as_py()))
+                keep.append(similarity(left, shingles(words(y.as_py()))) >= like)
             yield pa.record_batch([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     x, y = (texts.select(F.col("key").alias(k), F.col("text").alias(t)) for k, t in (("_ka", "x"), ("_kb", "y")))
@@ -152,49 +168,90 @@ def verified(pairs: DataFrame, texts: DataFrame, like: float = LIKE) -> DataFram
     return both.mapInArrow(run, "a binary, b binary")
 
 
-def _fit(a: str, b: str, like: float) -> Column:
-    """Whether sizes allow a link."""
-    return F.least(a, b) >= like * F.greatest(a, b)
+def screened(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose signatures agree on AGREE coordinates."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, K) for c in ("x", "y"))
+            yield batch.select(["a", "b"]).filter(pa.array((x == y).sum(axis=1) >= AGREE))
 
+    x, y = (nodes.select(F.col("key").alias(k), F.col("sig").alias(t)) for k, t in (("_ka", "x"), ("_kb", "y")))
+    both = pairs.join(x, F.col("a") == F.col("_ka")).join(y, F.col("b") == F.col("_kb")).select("a", "b", "x", "y")
+    return both.mapInArrow(run, "a binary, b binary")
 
-def links(nodes: DataFrame, texts_of, like: float = LIKE) -> tuple[DataFrame, DataFrame]:
-    """Links (a, b) that connect all nodes (key, n, bands) which similar nodes connect, and the components (node, root).
 
-    `texts_of` gives (key, text) for a DataFrame of keys.
+def agreeing(open_: DataFrame, nodes: DataFrame, like: float) -> DataFrame:
+    """The pairs in a bucket, of different components and one of them apart, whose sizes and signatures allow a link.
+
+    A bucket is dealt into tiles, each two of which meet in one place. There, signatures are compared as arrays, and
+    only pairs that pass become rows, in the first of the buckets that they share.
     """
-    member = nodes.select("key", "n", F.explode("bands").alias("band"))
-    least = member.groupBy(F.col("band").alias("_b")).agg(F.min(F.struct("key", "n")).alias("_h"), F.count("*").alias("_c")).filter("_c > 1").select("_b", F.col("_h.key").alias("hub"), F.col("_h.n").alias("hub_n"))
-    met = saved(member.join(least, F.col("band") == F.col("_b")).select("band", "key", "n", "hub", "hub_n"))
-    stars = saved(met.filter((F.col("key") != F.col("hub")) & _fit("n", "hub_n", like)).select(F.col("hub").alias("a"), F.col("key").alias("b")).distinct())
-    texts = saved(texts_of(met.select("key").distinct()))
-    first = saved(verified(stars, texts, like))
-    part = components(first)
-    root = lambda key: F.coalesce(F.col("_root"), F.col(key))
-    named = met.join(part.select(F.col("node").alias("_node"), F.col("root").alias("_root")), F.col("key") == F.col("_node"), "left").select("band", "key", "n", "hub", root("key").alias("root"))
-    named = named.join(part.select(F.col("node").alias("_node"), F.col("root").alias("_root")), F.col("hub") == F.col("_node"), "left").select("band", "key", "n", "root", root("hub").alias("hub_root"))
-    named = saved(named)
-    outside = named.filter("root != hub_root").select(F.col("band").alias("_band"), F.col("key").alias("a"), F.col("n").alias("an"), F.col("root").alias("ar"))
-    open_bands = outside.select("_band").distinct()
-    others = named.join(open_bands.withColumnRenamed("_band", "_open"), F.col("band") == F.col("_open"), "left_semi")
-    more = others.join(outside, (F.col("band") == F.col("_band")) & (F.col("root") != F.col("ar")) & _fit("n", "an", like)).select(F.greatest("a", "key").alias("a"), F.least("a", "key").alias("b")).distinct()
-    known = stars.select(F.greatest("a", "b").alias("_x"), F.least("a", "b").alias("_y"))
-    second = saved(verified(more.join(known, (F.col("a") == F.col("_x")) & (F.col("b") == F.col("_y")), "left_anti"), texts, like))
-    found = first.unionAll(second)
-    return found, components(found) if second.head(1) else part
+    tiles = open_.groupBy(F.col("band").alias("_t")).agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
+    rows = open_.join(tiles, F.col("band") == F.col("_t")).withColumn("t", F.pmod(F.xxhash64("key"), "tiles").cast("int"))
+    rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("o"))
+    rows = rows.select("band", F.least("t", "o").alias("lo"), F.greatest("t", "o").alias("hi"), "t", "key", F.col("x").alias("n"), F.xxhash64("root").alias("root"), "apart")
+    rows = rows.join(nodes.select(F.col("key").alias("_k"), "sig", "bands"), F.col("key") == F.col("_k")).drop("_k")
+
+    def pairs(r: dict[str, np.ndarray], a: slice) -> pa.RecordBatch:
+        n, root, apart, t, sig = (r[c][a] for c in ("n", "root", "apart", "t", "sig"))
+        bands = r["bands"][a]
+        keys = r["key"][a]
+        found = []
+        for i in range(0, len(n), SLICE):
+            s = slice(i, i + SLICE)
+            ok = (root[s, None] != root) & (apart[s, None] | apart) & (np.minimum(n[s, None], n) >= like * np.maximum(n[s, None], n))
+            ok &= (t[s, None] < t) | (r["lo"][a.start] == r["hi"][a.start]) & (np.arange(i, i + len(n[s]))[:, None] < np.arange(len(n)))
+            x, y = np.nonzero(ok)
+            for k in range(0, len(x), 1 << 14):
+                u, v = x[k : k + (1 << 14)] + i, y[k : k + (1 << 14)]
+                same = (sig[u] == sig[v]).sum(axis=1) >= AGREE
+                u, v = u[same], v[same]
+                common = bands[u] == bands[v]
+                same = bands[u, common.argmax(axis=1)] == r["band"][a.start]  # else another bucket has the pair
+                found += zip(u[same].tolist(), v[same].tolist(), strict=True)
+        ends = [(min(keys[u], keys[v]), max(keys[u], keys[v])) for u, v in found]
+        return pa.record_batch([pa.array([e[0] for e in ends], pa.binary()), pa.array([e[1] for e in ends], pa.binary())], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left = None
+        for batch in chain(batches, [None]):
+            table = left if batch is None else pa.Table.from_batches([batch]) if left is None else pa.concat_tables([left, pa.Table.from_batches([batch])])
+            left = None
+            if table is None or not len(table):
+                continue
+            r = {c: table.column(c).to_numpy() for c in ("band", "lo", "hi", "t", "n", "root", "apart")}
+            r["key"] = table.column("key").to_pylist()
+            r["sig"] = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(-1, K)
+            r["bands"] = table.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+            new = (r["band"][1:] != r["band"][:-1]) | (r["lo"][1:] != r["lo"][:-1]) | (r["hi"][1:] != r["hi"][:-1])
+            cuts = [0, *(np.flatnonzero(new) + 1).tolist(), len(table)]
+            if batch is not None:  # the last group may go on
+                left = table.slice(cuts[-2])
+                cuts.pop()
+            for a, b in zip(cuts, cuts[1:]):
+                if b - a > 1:
+                    yield pairs(r, slice(a, b))
+
+    n = int(open_.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartition(n, "band", "lo", "hi").sortWithinPartitions("band", "lo", "hi")
+    return dealt.mapInArrow(run, "a binary, b binary")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", like: float = LIKE) -> DataFrame:
     """doc_id, th (xxhash64 of the text), class_id, and kept: whether the row is its class's first. One row for each row of docs."""
     rows = saved(sketches(docs, id_col, text_col))
     name = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "th")
-    nodes = saved(rows.groupBy("key").agg(F.min(name).alias("name"), F.first("n").alias("n"), F.first("bands").alias("bands")))
+    nodes = saved(rows.groupBy("key").agg(F.min(name).alias("name"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sig").alias("sig")))
 
     def texts_of(keys: DataFrame) -> DataFrame:
         wanted = nodes.join(keys.withColumnRenamed("key", "_k"), F.col("key") == F.col("_k"), "left_semi").select("key", F.col("name.doc_id").alias("_d"), F.col("name.th").alias("_h"))
         source = docs.filter(F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("th"))
         return source.join(wanted, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_h"))).groupBy("key").agg(F.first("text").alias("text"))
 
-    part = links(nodes.select("key", "n", "bands"), texts_of, like)[1]
+    met = buckets(nodes.select("key", F.col("n").alias("x"), "bands"))
+    texts = saved(texts_of(met.select("key").distinct()))
+    part = connect(met, lambda x, y: F.least(x, y) >= like * F.greatest(x, y), lambda pairs: verified(screened(pairs, nodes), texts, like), lambda rows: agreeing(rows, nodes, like), rounds=2)
     of = nodes.select("key", "name").join(part, F.col("key") == F.col("node"), "left").select("key", "name", F.coalesce("root", "key").alias("root"))
     best = of.groupBy(F.col("root").alias("_r")).agg(F.min("name").alias("best"))
     of = of.join(best, F.col("root") == F.col("_r")).select(F.col("key").alias("_k"), "best")
@@ -206,10 +263,10 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lik
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", like: float = LIKE) -> DataFrame:
     """One row of each class, whole; null texts stay."""
     keep = classes(docs, id_col, text_col, like).filter("kept").select(F.col("doc_id").alias("_d"), F.col("th").alias("_h")).distinct()
-    marked = docs.withColumn("_th", F.xxhash64(text_col))
-    stay = marked.join(keep, F.col(id_col).eqNullSafe(F.col("_d")) & (F.col("_th") == F.col("_h")), "left_semi")
-    texts = stay.filter(F.col(text_col).isNotNull()).dropDuplicates([id_col, "_th"])
-    return texts.unionByName(stay.filter(F.col(text_col).isNull())).drop("_th")
+    rows = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_th"), F.col(text_col).isNull().alias("_null"))
+    stay = rows.join(keep, F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_th") == F.col("_h")), "left_semi")
+    texts = stay.filter("not _null").dropDuplicates(["_id", "_th"])
+    return texts.unionAll(stay.filter("_null")).select("_row.*")
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
