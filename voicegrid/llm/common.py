@@ -1,5 +1,7 @@
 """What several operators share."""
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -20,6 +22,7 @@ def shared_dir(spark: SparkSession) -> str:
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="voicegrid")
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(d)
     return d if "://" in d or d.startswith("file:") else f"file://{d}"
 
@@ -27,7 +30,7 @@ def shared_dir(spark: SparkSession) -> str:
 def saved(df: DataFrame) -> DataFrame:
     """The rows, written to the shared folder once as Parquet; later steps read them from there, whatever executor is lost."""
     at = f"{shared_dir(df.sparkSession)}/saved-{uuid.uuid4()}"
-    df.write.parquet(at)
+    df.write.option("compression", "zstd").parquet(at)  # snappy pages would pile up in direct buffers
     return df.sparkSession.read.schema(df.schema).parquet(at)
 
 
