@@ -11,8 +11,8 @@ band meet. At a similarity of 0.8 the chance that no band agrees is 5e-8.
 
 Copies, equal after normalisation, become one node first. Each two nodes that share a band's bucket are compared or already
 connected (see grouping); a bucket of near copies costs a few comparisons a member. Pairs whose sizes rule a link out aren't
-compared, nor are pairs whose signatures agree on fewer than AGREE coordinates, which 1 in 70,000 pairs of
-a similarity of just 0.8 does, and far fewer above.
+compared, nor are pairs that differ in more of ODD parity bits than linked texts can, nor pairs whose signatures agree on fewer
+than AGREE coordinates, which 1 in 70,000 pairs of a similarity of just 0.8 does, and far fewer above.
 
 No text without a word is linked, except to its exact copies. Null texts are classes of their own. Rows that repeat an id
 and a text are one; null ids are kept apart by their text. A class is named by its smallest id; null if none has one.
@@ -36,6 +36,7 @@ WORDS, LIKE = 5, 0.8
 #: Coordinates on which linked texts agree: 4 standard deviations under what 0.8 of 128 lets expect.
 AGREE = 84
 TILE, SLICE = 1024, 16
+ODD = 2048
 BANDS, ROWS = 32, 4
 K = BANDS * ROWS
 #: Darts a signature expects: so many that few signatures miss a coordinate at first.
@@ -84,11 +85,26 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return both / (int(a[1].sum()) + int(b[1].sum()) - both)
 
 
-def signature(codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """For each coordinate, the hash of the dart of least rank."""
+def regions(codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """A hash for each unit of weight."""
     unit = np.repeat(codes, counts)
     nth = np.arange(len(unit), dtype=np.uint64) - np.repeat(np.cumsum(counts) - counts, counts).astype(np.uint64)
-    region = mixed(unit + nth * GOLD)
+    return mixed(unit + nth * GOLD)
+
+
+def parities(region: np.ndarray) -> bytes:
+    """ODD bits, each the parity of the units that fall on it. Two texts differ in no more bits than in units."""
+    return np.packbits(np.bincount((region % np.uint64(ODD)).astype(np.int64), minlength=ODD).astype(np.uint8) & 1).tobytes()
+
+
+def near(n: np.ndarray, m: np.ndarray, x: np.ndarray, y: np.ndarray, like: float) -> np.ndarray:
+    """Whether sizes and parities of paired texts allow a link: of n + m units, at most (1 - like) / (1 + like) may differ."""
+    bits = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+    return bits <= (n + m) * (1 - like) / (1 + like) + 1e-6
+
+
+def signature(region: np.ndarray) -> np.ndarray:
+    """For each coordinate, the hash of the dart of least rank."""
     reach = DARTS / len(region)
     while True:
         ranks, darts = np.zeros(0), np.zeros(0, np.uint64)
@@ -125,11 +141,11 @@ def bands(sig: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, th (a hash of the text), key (of the normalised text), n (its shingles), bands and sig of each text that isn't null."""
+    """doc_id, th (a hash of the text), key (of the normalised text), n (its shingles), bands, sig and odd of each text that isn't null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys, sizes, found, sigs = [], [], [], []
+            keys, sizes, found, sigs, odds = [], [], [], [], []
             for text in b.column("_t"):
                 text = text.as_py()
                 w = words(text)
@@ -138,16 +154,19 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     sizes.append(0)
                     found.append(np.zeros(0, np.int64))
                     sigs.append(b"")
+                    odds.append(b"")
                     continue
                 codes, counts = shingles(w)
-                sig = signature(codes, counts)
+                region = regions(codes, counts)
+                sig = signature(region)
                 sizes.append(int(counts.sum()))
                 found.append(bands(sig))
                 sigs.append(low(sig))
-            yield pa.record_batch([b.column("doc_id"), b.column("th"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(found, pa.list_(pa.int64())), pa.array(sigs, pa.binary())], names=["doc_id", "th", "key", "n", "bands", "sig"])
+                odds.append(parities(region))
+            yield pa.record_batch([b.column("doc_id"), b.column("th"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(found, pa.list_(pa.int64())), pa.array(sigs, pa.binary()), pa.array(odds, pa.binary())], names=["doc_id", "th", "key", "n", "bands", "sig", "odd"])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("_t")).filter("_t is not null")
-    schema = rows.select("doc_id", "th").schema.add("key", "binary").add("n", "long").add("bands", ArrayType(LongType())).add("sig", "binary")
+    schema = rows.select("doc_id", "th").schema.add("key", "binary").add("n", "long").add("bands", ArrayType(LongType())).add("sig", "binary").add("odd", "binary")
     return rows.mapInArrow(run, schema)
 
 
@@ -168,15 +187,20 @@ def verified(pairs: DataFrame, texts: DataFrame, like: float = LIKE) -> DataFram
     return both.mapInArrow(run, "a binary, b binary")
 
 
-def screened(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose signatures agree on AGREE coordinates."""
+def _bytes(column: pa.Array, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, width)
+
+
+def screened(pairs: DataFrame, nodes: DataFrame, like: float) -> DataFrame:
+    """The pairs (a, b) whose sizes, parities and signatures allow a link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, K) for c in ("x", "y"))
-            yield batch.select(["a", "b"]).filter(pa.array((x == y).sum(axis=1) >= AGREE))
+            x, y = batch.column("x").flatten(), batch.column("y").flatten()  # n, sig, odd
+            ok = near(x[0].to_numpy(), y[0].to_numpy(), _bytes(x[2], ODD // 8), _bytes(y[2], ODD // 8), like)
+            yield batch.select(["a", "b"]).filter(pa.array(ok & ((_bytes(x[1], K) == _bytes(y[1], K)).sum(axis=1) >= AGREE)))
 
-    x, y = (nodes.select(F.col("key").alias(k), F.col("sig").alias(t)) for k, t in (("_ka", "x"), ("_kb", "y")))
+    x, y = (nodes.select(F.col("key").alias(k), F.struct("n", "sig", "odd").alias(t)) for k, t in (("_ka", "x"), ("_kb", "y")))
     both = pairs.join(x, F.col("a") == F.col("_ka")).join(y, F.col("b") == F.col("_kb")).select("a", "b", "x", "y")
     return both.mapInArrow(run, "a binary, b binary")
 
@@ -191,11 +215,11 @@ def agreeing(open_: DataFrame, nodes: DataFrame, like: float) -> DataFrame:
     rows = open_.join(tiles, F.col("band") == F.col("_t")).withColumn("t", F.pmod(F.xxhash64("key"), "tiles").cast("int"))
     rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("o"))
     rows = rows.select("band", F.least("t", "o").alias("lo"), F.greatest("t", "o").alias("hi"), "t", "key", F.col("x").alias("n"), F.xxhash64("root").alias("root"), "apart")
-    rows = rows.join(nodes.select(F.col("key").alias("_k"), "sig", "bands"), F.col("key") == F.col("_k")).drop("_k")
+    rows = rows.join(nodes.select(F.col("key").alias("_k"), "sig", "bands", "odd"), F.col("key") == F.col("_k")).drop("_k")
 
     def pairs(r: dict[str, np.ndarray], a: slice) -> pa.RecordBatch:
         n, root, apart, t, sig = (r[c][a] for c in ("n", "root", "apart", "t", "sig"))
-        bands = r["bands"][a]
+        bands, odd = r["bands"][a], r["odd"][a]
         keys = r["key"][a]
         found = []
         for i in range(0, len(n), SLICE):
@@ -205,6 +229,8 @@ def agreeing(open_: DataFrame, nodes: DataFrame, like: float) -> DataFrame:
             x, y = np.nonzero(ok)
             for k in range(0, len(x), 1 << 14):
                 u, v = x[k : k + (1 << 14)] + i, y[k : k + (1 << 14)]
+                same = near(n[u], n[v], odd[u], odd[v], like)
+                u, v = u[same], v[same]
                 same = (sig[u] == sig[v]).sum(axis=1) >= AGREE
                 u, v = u[same], v[same]
                 common = bands[u] == bands[v]
@@ -222,7 +248,7 @@ def agreeing(open_: DataFrame, nodes: DataFrame, like: float) -> DataFrame:
                 continue
             r = {c: table.column(c).to_numpy() for c in ("band", "lo", "hi", "t", "n", "root", "apart")}
             r["key"] = table.column("key").to_pylist()
-            r["sig"] = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(-1, K)
+            r["sig"], r["odd"] = _bytes(table.column("sig"), K), _bytes(table.column("odd"), ODD // 8)
             r["bands"] = table.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
             new = (r["band"][1:] != r["band"][:-1]) | (r["lo"][1:] != r["lo"][:-1]) | (r["hi"][1:] != r["hi"][:-1])
             cuts = [0, *(np.flatnonzero(new) + 1).tolist(), len(table)]
@@ -242,7 +268,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lik
     """doc_id, th (xxhash64 of the text), class_id, and kept: whether the row is its class's first. One row for each row of docs."""
     rows = saved(sketches(docs, id_col, text_col))
     name = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "th")
-    nodes = saved(rows.groupBy("key").agg(F.min(name).alias("name"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sig").alias("sig")))
+    nodes = saved(rows.groupBy("key").agg(F.min(name).alias("name"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sig").alias("sig"), F.first("odd").alias("odd")))
 
     def texts_of(keys: DataFrame) -> DataFrame:
         wanted = nodes.join(keys.withColumnRenamed("key", "_k"), F.col("key") == F.col("_k"), "left_semi").select("key", F.col("name.doc_id").alias("_d"), F.col("name.th").alias("_h"))
@@ -251,7 +277,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lik
 
     met = buckets(nodes.select("key", F.col("n").alias("x"), "bands"))
     texts = saved(texts_of(met.select("key").distinct()))
-    part = connect(met, lambda x, y: F.least(x, y) >= like * F.greatest(x, y), lambda pairs: verified(screened(pairs, nodes), texts, like), lambda rows: agreeing(rows, nodes, like), rounds=2)
+    part = connect(met, lambda x, y: F.least(x, y) >= like * F.greatest(x, y), lambda pairs: verified(screened(pairs, nodes, like), texts, like), lambda rows: agreeing(rows, nodes, like), rounds=2)
     of = nodes.select("key", "name").join(part, F.col("key") == F.col("node"), "left").select("key", "name", F.coalesce("root", "key").alias("root"))
     best = of.groupBy(F.col("root").alias("_r")).agg(F.min("name").alias("best"))
     of = of.join(best, F.col("root") == F.col("_r")).select(F.col("key").alias("_k"), "best")
