@@ -7,7 +7,8 @@ more, in lower case) reveals an entity e by its pointwise mutual information wit
     disclosure = log(n(t,e) * N / (n(t) * n(e))) / log(N / n(e)),
 
 N being the corpus's lines with a word, n(.) the lines that hold what is in brackets. Counts cover all lines of all documents.
-Only terms that occur with e in SUPPORT different lines count, so that copies of a line show nothing. In documents that hold
+Terms that occur with e in SUPPORT different lines count: in one, as most personal data is in one line of the corpus only. There
+all that a term discloses is how rare it is, as n(t,e) = n(e) gives 1 - log(n(t) / n(e)) / log(N / n(e)). In documents that hold
 e, terms of a disclosure of GENERALISE or more become their class, those of REMOVE or more go; documents without a base span
 aren't touched.
 
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from voicegrid.llm.common import saved, table
 
 KINDS = ("email", "ip", "card", "phone")
-LEAST, SUPPORT, GENERALISE, REMOVE = 3, 3, 0.9, 0.97
+LEAST, SUPPORT, GENERALISE, REMOVE = 3, 1, 0.9, 0.97
 SALTS = 16
 TERM = r"\p{L}{" + str(LEAST) + r",}+"
 
