@@ -1,0 +1,22 @@
+"""Each pass over a source's stream has its own positions."""
+
+from pyspark.sql import functions as F
+
+from voicegrid.llm import mixing
+
+
+def test_second_pass_follows_the_schedule(spark):
+    # the first source has 5 of 8 of the weight and few words: its target is twice its size
+    rows = [(i, "a b c d", "s0" if i < 40 else f"s{1 + i % 2}") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = {r.doc_id: r for r in mixing.mix(df).collect()}
+    twice = [r for r in out.values() if r.source == "s0"]
+    assert all(r.target == 2 * r.source_size and r.taken == 2 * r.size for r in twice)
+    first, second = (sorted(getattr(r, k) for r in twice) for k in ("position", "position_again"))
+    # demand falls from 1.5 to 0.5: the share x is reached at 1.5 - sqrt(2.25 - 2 x)
+    want = [1.5 - (2.25 - 2 * (4 * i / 320)) ** 0.5 for i in range(80)]
+    assert all(abs(a - b) < 1e-8 for a, b in zip(first + second, want, strict=True))
+    assert [r.doc_id for r in sorted(twice, key=lambda r: r.position)] == [r.doc_id for r in sorted(twice, key=lambda r: r.position_again)]
+    seq = [r.doc_id for r in mixing.mixed(df).withColumn("n", F.monotonically_increasing_id()).orderBy("n").collect() if r.source == "s0"]
+    order = [r.doc_id for r in sorted(twice, key=lambda r: r.position)]
+    assert seq == order + order

@@ -5,7 +5,7 @@ source's cumulative token demand; a document that starts at word c of its source
 reaches c. Documents come out range-sorted by that position.
 
 A source's stream is its documents in the order of the MD5 of their id. A stream that is shorter than its target starts
-again, at most once. The word at which the target is reached may fall inside a document: that one counts in part.
+again, at most once; a document that the second pass takes has a second time, at which demand reaches its source's size and c. The word at which the target is reached may fall inside a document: that one counts in part.
 
 Word offsets come from sums by (source, bucket of the hash) and a running sum over those, so that a source with a third of
 all rows is dealt over BUCKETS groups. Only sources pass through one task, BUCKETS rows of a source through another.
@@ -62,8 +62,8 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int =
     return df.select("source", "source_size", "nth", F.when(F.col("_full"), F.col("_cap").cast("double")).otherwise(rest / free * F.col("_w")).alias("target"))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, share: float = SHARE, most: int = MOST, schedules=SCHEDULES) -> DataFrame:
-    """doc_id, size, source, source_size, target, taken, and `position` (null where nothing is taken), in training order."""
+def placed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, share: float = SHARE, most: int = MOST, schedules=SCHEDULES) -> DataFrame:
+    """doc_id, h, size, source, source_size, target, taken, and _p0, _p1 and so on, the position in each pass (null where it takes nothing)."""
     h = md5_bits(F.coalesce(F.col(id_col).cast("string"), F.lit("null")))
     rows = saved(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), h.alias("h")).withColumn("b", F.floor(F.col("h") / (2**32 // BUCKETS)).cast("int")))
     sums = rows.groupBy("source", "b").agg(F.sum("size").alias("n"))
@@ -76,29 +76,38 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rows = rows.withColumn("_c", F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
     df = rows.join(places, rows["source"].eqNullSafe(places["_s"]) & (rows["b"] == places["_b"])).withColumn("_c", F.col("_c") + F.col("_o"))
     goal = F.round("target").cast("bigint")
-    took = sum((F.greatest(F.lit(0), F.least(F.col("size"), goal - j * F.col("source_size") - F.col("_c"))) for j in range(most)), F.lit(0))
-    df = df.withColumn("taken", took.cast("bigint")).withColumn("_x", F.when(F.col("taken") > 0, F.col("_c") / F.col("target")))
-    df = df.withColumn("position", F.round(F.expr(positions_sql("_x", "nth", schedules)), 9))
-    return df.orderBy("position", "h", "doc_id").select("doc_id", "size", "source", "source_size", "target", "taken", "position")
+    df = df.withColumns({f"_t{j}": F.greatest(F.lit(0), F.least(F.col("size"), goal - j * F.col("source_size") - F.col("_c"))) for j in range(most)})
+    df = df.withColumns({f"_x{j}": F.when(F.col(f"_t{j}") > 0, (j * F.col("source_size") + F.col("_c")) / F.col("target")) for j in range(most)})
+    at = {f"_p{j}": F.round(F.expr(positions_sql(f"_x{j}", "nth", schedules)), 9) for j in range(most)}
+    df = df.withColumns({"taken": sum((F.col(f"_t{j}") for j in range(most)), F.lit(0)).cast("bigint"), **at})
+    return df.select("doc_id", "h", "size", "source", "source_size", "target", "taken", *at)
 
 
-def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
-    """Rows of `docs`, whole, as often as the mix takes them, in training order.
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", most: int = MOST, **how) -> DataFrame:
+    """doc_id, size, source, source_size, target, taken, and `position` and `position_again` (null where a pass takes nothing), in training order of the first pass."""
+    df = placed(docs, id_col, text_col, source_col, most=most, **how)
+    again = F.col("_p1") if most > 1 else F.lit(None).cast("double")
+    return df.withColumns({"position": F.col("_p0"), "position_again": again}).orderBy("position", "h", "doc_id").select("doc_id", "size", "source", "source_size", "target", "taken", "position", "position_again")
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", most: int = MOST, **how) -> DataFrame:
+    """Rows of `docs`, whole, as often as the mix takes them, in training order, each copy at the position of its own pass.
 
     A row whose last copy is taken in part has that copy if the part is half of it or more. Rows without words stay as they
     are, once. Rows are matched by id, source and size; rows that share all three share what is taken of them.
     """
-    taken = mix(docs, id_col, text_col, source_col, **how)
-    per = taken.groupBy("doc_id", "source", "size").agg(F.sum("taken").alias("taken"), F.count("*").alias("rows"), F.min("position").alias("position"))
+    taken = placed(docs, id_col, text_col, source_col, most=most, **how)
+    at = F.array(*[F.min(f"_p{j}") for j in range(most)]).alias("at")
+    per = taken.groupBy("doc_id", "source", "size").agg(F.sum("taken").alias("taken"), F.count("*").alias("rows"), at)
     rows = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_id"), F.col(source_col).alias("_source"), word_count(F.col(text_col)).alias("_size"))
     both = rows.join(per, F.col("_id").eqNullSafe(F.col("doc_id")) & F.col("_source").eqNullSafe(F.col("source")) & (F.col("_size") == F.col("size")))
     copies = F.when(F.col("size") == 0, 1).otherwise(F.floor(F.col("taken") / F.col("rows") / F.col("size") + 0.5)).cast("int")
-    again = both.select("_row", "position", F.explode(F.array_repeat(F.lit(0), copies)).alias("_copy"))
+    again = both.select("_row", F.explode(F.slice("at", F.lit(1), copies)).alias("position"))
     return again.orderBy("position", F.xxhash64("_row")).select("_row.*")
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents")).drop("source")
+    return mix(table(spark, sf_dir, "documents")).drop("source", "position_again")
 
 
 SQL = rf"""
