@@ -44,7 +44,7 @@ def connect(met: DataFrame, fits: Callable[[Column, Column], Column], verify: Ca
     named = _named(met, part)
     first = named.groupBy(F.col("band").alias("_b")).agg(F.min("root").alias("_m"), F.max("root").alias("_x")).filter("_m != _x").select("_b", "_m")
     open_ = named.join(first, F.col("band") == F.col("_b")).select("band", "key", "x", "root", (F.col("root") != F.col("_m")).alias("apart"))
-    links = saved(verify((rest or _joined(fits))(open_)))
+    links = saved(verify(saved((rest or _joined(fits))(open_))))
     return components(found.unionAll(links)) if links.head(1) else part
 
 
