@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 #: A word: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -18,9 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a local master gets one of our own; others raise ValueError."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir isn't set; it has to name a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="voicegrid")
         atexit.register(shutil.rmtree, d, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(d)
@@ -29,8 +32,13 @@ def shared_dir(spark: SparkSession) -> str:
 
 def saved(df: DataFrame) -> DataFrame:
     """The rows, written to the shared folder once as Parquet; later steps read them from there, whatever executor is lost."""
-    at = f"{shared_dir(df.sparkSession)}/saved-{uuid.uuid4()}"
-    df.write.option("compression", "zstd").parquet(at)  # snappy pages would pile up in direct buffers
+    at, conf = f"{shared_dir(df.sparkSession)}/saved-{uuid.uuid4()}", df.sparkSession.conf
+    before = conf.get(CLEAN, None)
+    conf.set(CLEAN, "true")  # once the table is there, nobody needs the shuffles that made it
+    try:
+        df.write.option("compression", "zstd").parquet(at)  # snappy pages would pile up in direct buffers
+    finally:
+        conf.unset(CLEAN) if before is None else conf.set(CLEAN, before)
     return df.sparkSession.read.schema(df.schema).parquet(at)
 
 
