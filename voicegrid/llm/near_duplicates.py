@@ -11,8 +11,8 @@ band meet. At a similarity of 0.8 the chance that no band agrees is 5e-8.
 
 Copies, equal after normalisation, become one node first. Each two nodes that share a band's bucket are compared or already
 connected (see grouping); a bucket of near copies costs a few comparisons a member. Pairs whose sizes rule a link out aren't
-compared, nor are pairs that differ in more of ODD parity bits than linked texts can, nor pairs whose signatures agree on fewer
-than AGREE coordinates, which 1 in 70,000 pairs of a similarity of just 0.8 does, and far fewer above.
+compared, nor are pairs that differ in more of ODD parity bits than linked texts can: both tell without error. So all pairs
+that meet and may be linked are verified, whatever LIKE is; bands suit 0.8 and more, at 0.7 a pair in 5,000 doesn't meet.
 
 No text without a word is linked, except to its exact copies. Null texts are classes of their own. Rows that repeat an id
 and a text are one; null ids are kept apart by their text. A class is named by its smallest id; null if none has one.
@@ -33,8 +33,6 @@ from voicegrid.llm.common import saved, table
 from voicegrid.llm.grouping import buckets, connect
 
 WORDS, LIKE = 5, 0.8
-#: Coordinates on which linked texts agree: 4 standard deviations under what 0.8 of 128 lets expect.
-AGREE = 84
 TILE, SLICE = 1024, 16
 ODD = 2048
 BANDS, ROWS = 32, 4
@@ -127,11 +125,6 @@ def signature(region: np.ndarray) -> np.ndarray:
         reach *= 2
 
 
-def low(sig: np.ndarray) -> bytes:
-    """The low byte of each coordinate."""
-    return sig.astype(np.uint8).tobytes()
-
-
 def bands(sig: np.ndarray) -> np.ndarray:
     """A hash for each band, its number included."""
     out = np.arange(BANDS, dtype=np.uint64)
@@ -141,11 +134,11 @@ def bands(sig: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, th (a hash of the text), key (of the normalised text), n (its shingles), bands, sig and odd of each text that isn't null."""
+    """doc_id, th (a hash of the text), key (of the normalised text), n (its shingles), bands and odd of each text that isn't null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys, sizes, found, sigs, odds = [], [], [], [], []
+            keys, sizes, found, odds = [], [], [], []
             for text in b.column("_t"):
                 text = text.as_py()
                 w = words(text)
@@ -153,20 +146,17 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 if not w:
                     sizes.append(0)
                     found.append(np.zeros(0, np.int64))
-                    sigs.append(b"")
                     odds.append(b"")
                     continue
                 codes, counts = shingles(w)
                 region = regions(codes, counts)
-                sig = signature(region)
                 sizes.append(int(counts.sum()))
-                found.append(bands(sig))
-                sigs.append(low(sig))
+                found.append(bands(signature(region)))
                 odds.append(parities(region))
-            yield pa.record_batch([b.column("doc_id"), b.column("th"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(found, pa.list_(pa.int64())), pa.array(sigs, pa.binary()), pa.array(odds, pa.binary())], names=["doc_id", "th", "key", "n", "bands", "sig", "odd"])
+            yield pa.record_batch([b.column("doc_id"), b.column("th"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(found, pa.list_(pa.int64())), pa.array(odds, pa.binary())], names=["doc_id", "th", "key", "n", "bands", "odd"])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("_t")).filter("_t is not null")
-    schema = rows.select("doc_id", "th").schema.add("key", "binary").add("n", "long").add("bands", ArrayType(LongType())).add("sig", "binary").add("odd", "binary")
+    schema = rows.select("doc_id", "th").schema.add("key", "binary").add("n", "long").add("bands", ArrayType(LongType())).add("odd", "binary")
     return rows.mapInArrow(run, schema)
 
 
@@ -192,33 +182,33 @@ def _bytes(column: pa.Array, width: int) -> np.ndarray:
 
 
 def screened(pairs: DataFrame, nodes: DataFrame, like: float) -> DataFrame:
-    """The pairs (a, b) whose sizes, parities and signatures allow a link."""
+    """The pairs (a, b) whose sizes and parities allow a link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = batch.column("x").flatten(), batch.column("y").flatten()  # n, sig, odd
-            ok = near(x[0].to_numpy(), y[0].to_numpy(), _bytes(x[2], ODD // 8), _bytes(y[2], ODD // 8), like)
-            yield batch.select(["a", "b"]).filter(pa.array(ok & ((_bytes(x[1], K) == _bytes(y[1], K)).sum(axis=1) >= AGREE)))
+            x, y = batch.column("x").flatten(), batch.column("y").flatten()  # n, odd
+            ok = near(x[0].to_numpy(), y[0].to_numpy(), _bytes(x[1], ODD // 8), _bytes(y[1], ODD // 8), like)
+            yield batch.select(["a", "b"]).filter(pa.array(ok))
 
-    x, y = (nodes.select(F.col("key").alias(k), F.struct("n", "sig", "odd").alias(t)) for k, t in (("_ka", "x"), ("_kb", "y")))
+    x, y = (nodes.select(F.col("key").alias(k), F.struct("n", "odd").alias(t)) for k, t in (("_ka", "x"), ("_kb", "y")))
     both = pairs.join(x, F.col("a") == F.col("_ka")).join(y, F.col("b") == F.col("_kb")).select("a", "b", "x", "y")
     return both.mapInArrow(run, "a binary, b binary")
 
 
 def agreeing(open_: DataFrame, nodes: DataFrame, like: float) -> DataFrame:
-    """The pairs in a bucket, of different components and one of them apart, whose sizes and signatures allow a link.
+    """The pairs in a bucket, of different components and one of them apart, whose sizes and parities allow a link.
 
-    A bucket is dealt into tiles, each two of which meet in one place. There, signatures are compared as arrays, and
+    A bucket is dealt into tiles, each two of which meet in one place. There, parities are compared as arrays, and
     only pairs that pass become rows, in the first of the buckets that they share.
     """
     tiles = open_.groupBy(F.col("band").alias("_t")).agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
     rows = open_.join(tiles, F.col("band") == F.col("_t")).withColumn("t", F.pmod(F.xxhash64("key"), "tiles").cast("int"))
     rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("o"))
     rows = rows.select("band", F.least("t", "o").alias("lo"), F.greatest("t", "o").alias("hi"), "t", "key", F.col("x").alias("n"), F.xxhash64("root").alias("root"), "apart")
-    rows = rows.join(nodes.select(F.col("key").alias("_k"), "sig", "bands", "odd"), F.col("key") == F.col("_k")).drop("_k")
+    rows = rows.join(nodes.select(F.col("key").alias("_k"), "bands", "odd"), F.col("key") == F.col("_k")).drop("_k")
 
     def pairs(r: dict[str, np.ndarray], a: slice) -> pa.RecordBatch:
-        n, root, apart, t, sig = (r[c][a] for c in ("n", "root", "apart", "t", "sig"))
+        n, root, apart, t = (r[c][a] for c in ("n", "root", "apart", "t"))
         bands, odd = r["bands"][a], r["odd"][a]
         keys = r["key"][a]
         found = []
@@ -231,8 +221,6 @@ def agreeing(open_: DataFrame, nodes: DataFrame, like: float) -> DataFrame:
                 u, v = x[k : k + (1 << 14)] + i, y[k : k + (1 << 14)]
                 same = near(n[u], n[v], odd[u], odd[v], like)
                 u, v = u[same], v[same]
-                same = (sig[u] == sig[v]).sum(axis=1) >= AGREE
-                u, v = u[same], v[same]
                 common = bands[u] == bands[v]
                 same = bands[u, common.argmax(axis=1)] == r["band"][a.start]  # else another bucket has the pair
                 found += zip(u[same].tolist(), v[same].tolist(), strict=True)
@@ -248,7 +236,7 @@ def agreeing(open_: DataFrame, nodes: DataFrame, like: float) -> DataFrame:
                 continue
             r = {c: table.column(c).to_numpy() for c in ("band", "lo", "hi", "t", "n", "root", "apart")}
             r["key"] = table.column("key").to_pylist()
-            r["sig"], r["odd"] = _bytes(table.column("sig"), K), _bytes(table.column("odd"), ODD // 8)
+            r["odd"] = _bytes(table.column("odd"), ODD // 8)
             r["bands"] = table.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
             new = (r["band"][1:] != r["band"][:-1]) | (r["lo"][1:] != r["lo"][:-1]) | (r["hi"][1:] != r["hi"][:-1])
             cuts = [0, *(np.flatnonzero(new) + 1).tolist(), len(table)]
@@ -268,7 +256,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lik
     """doc_id, th (xxhash64 of the text), class_id, and kept: whether the row is its class's first. One row for each row of docs."""
     rows = saved(sketches(docs, id_col, text_col))
     name = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "th")
-    nodes = saved(rows.groupBy("key").agg(F.min(name).alias("name"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sig").alias("sig"), F.first("odd").alias("odd")))
+    nodes = saved(rows.groupBy("key").agg(F.min(name).alias("name"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("odd").alias("odd")))
 
     def texts_of(keys: DataFrame) -> DataFrame:
         wanted = nodes.join(keys.withColumnRenamed("key", "_k"), F.col("key") == F.col("_k"), "left_semi").select("key", F.col("name.doc_id").alias("_d"), F.col("name.th").alias("_h"))
