@@ -4,8 +4,8 @@ Tokens (runs of letters and digits, runs of other marks) and pairs of neighbouri
 multinomial over the bins is counted from all documents, another from trusted ones. A document's score is the mean over its
 features of the log ratio of trusted to raw probability, smoothed by one count a bin; it is kept at THRESHOLD or above.
 
-Counts of the raw corpus cover every document. Trusted documents are labelled rows, TRUSTED of them at most, the first by
-MD5 of their id. Bins are the only thing that reaches the driver. Log ratios are rounded to integers, so that sums
+Counts of both corpora cover every document: the raw one all, the trusted one all that are labelled good. Ids of these are
+broadcast if they are SMALL or fewer, beyond that texts meet them by a shuffle. Bins are the only thing that reaches the driver. Log ratios are rounded to integers, so that sums
 don't depend on order. Without trusted documents, or without tokens, the score is 0.
 
 Base rules over words: at least LEAST_WORDS of them, and at most REPEATED percent in 3-word windows that the text has twice.
@@ -18,10 +18,11 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voicegrid.llm.common import SPACE, md5_bits, shielded, table
+from voicegrid.llm.common import SPACE, shielded, table
 
 BINS, PAIR, UNIT = 10_007, 65_599, 1_000_000
-TRUSTED = 20_000
+#: Ids that are broadcast at most: some 100 MB as a hash table.
+SMALL = 1_000_000
 THRESHOLD = -0.25
 LEAST_WORDS, REPEATED = 50, 50
 TOKEN = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\x20\x09-\x0D]+"
@@ -36,15 +37,16 @@ def features(df: DataFrame, text: str) -> DataFrame:
     return df.withColumn("_f", F.concat(F.transform("_h", lambda h: h % BINS), pairs)).drop("_h")
 
 
-def trusted_ids(labels: DataFrame, most: int = TRUSTED) -> DataFrame:
-    """Ids of documents that are labelled good, at most `most`; never more than fits a broadcast."""
-    good = labels.filter("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("_id"))
-    return good.groupBy("_id").agg(F.first(md5_bits(F.col("_id").cast("string"))).alias("_o")).orderBy("_o", "_id").limit(most).select("_id")
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """Ids of all documents that are labelled good, each once."""
+    return labels.filter("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("_id")).distinct()
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str) -> list[int]:
     """For each bin, the log of trusted over raw probability in millionths."""
-    marked = docs.select(F.col(id_col).alias("_d"), F.col(text_col).alias("_t")).join(F.broadcast(trusted.withColumn("_g", F.lit(1))), F.col("_d") == F.col("_id"), "left")
+    good = trusted.withColumn("_g", F.lit(1))
+    good = F.broadcast(good) if good.limit(SMALL + 1).count() <= SMALL else good
+    marked = docs.select(F.col(id_col).alias("_d"), F.col(text_col).alias("_t")).join(good, F.col("_d") == F.col("_id"), "left")
     bins = features(marked.select("_t", F.coalesce("_g", F.lit(0)).alias("_g")), "_t")
     # explode() would have the optimiser compute the array in a filter first; explode_outer() doesn't
     bins = bins.select("_g", F.explode_outer("_f").alias("bin")).filter("bin is not null").groupBy("bin").agg(F.count("*").alias("n"), F.sum("_g").alias("g"))
@@ -99,7 +101,6 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(docs, trusted_ids(table(spark, sf_dir, "labels"))).drop("text")
 
 
-_MD5 = "('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT"
 SQL = rf"""
 WITH RECURSIVE crc AS MATERIALIZED (SELECT list(c ORDER BY n) AS t FROM (SELECT n, list_reduce(list_prepend(n, range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(n))),
 d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
@@ -114,7 +115,7 @@ hashed AS MATERIALIZED (SELECT u.t, xor(4294967295, list_reduce(list_prepend(429
 th AS (SELECT rid, i, h FROM tok JOIN hashed USING (t)),
 f AS MATERIALIZED (SELECT rid, h % {BINS} AS bin FROM th UNION ALL
       SELECT rid, (h * {PAIR} + h2) % {BINS} FROM (SELECT rid, h, lead(h) OVER (PARTITION BY rid ORDER BY i) AS h2 FROM th) WHERE h2 IS NOT NULL),
-good AS (SELECT DISTINCT doc_id, {_MD5} AS o FROM labels WHERE quality = 1 AND doc_id IS NOT NULL ORDER BY o, doc_id LIMIT {TRUSTED}),
+good AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL),
 c AS (SELECT bin, count(*) AS n, count(*) FILTER (rid IN (SELECT rid FROM d WHERE doc_id IN (SELECT doc_id FROM good))) AS g FROM f GROUP BY bin),
 z AS (SELECT sum(n) + {BINS} AS a, sum(g) + {BINS} AS b, sum(g) AS g FROM c),
 r AS (SELECT bin, CASE WHEN z.g = 0 THEN 0 ELSE round({UNIT} * ln((c.g + 1) / b / ((n + 1) / a)))::BIGINT END AS r FROM c, z),
