@@ -107,7 +107,7 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents")).drop("source", "position_again")
+    return mix(table(spark, sf_dir, "documents")).drop("source")
 
 
 SQL = rf"""
@@ -121,6 +121,6 @@ g AS (SELECT source, source_size, nth, CASE WHEN filled THEN cap::DOUBLE ELSE
 p AS (SELECT doc_id, size, source_size::BIGINT AS source_size, target, nth, h,
         (sum(size) OVER (PARTITION BY d.source ORDER BY h, doc_id, size ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS c FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source),
 t AS (SELECT *, (greatest(0, least(size, round(target)::BIGINT - c)) + greatest(0, least(size, round(target)::BIGINT - source_size - c)))::BIGINT AS taken FROM p),
-x AS (SELECT *, CASE WHEN taken > 0 THEN c / target END AS x FROM t)
-SELECT doc_id, size, source_size, target, taken, round({positions_sql("x", "nth", SCHEDULES)}, 9) AS position FROM x
+x AS (SELECT *, CASE WHEN least(size, round(target)::BIGINT - c) > 0 THEN c / target END AS x, CASE WHEN least(size, round(target)::BIGINT - source_size - c) > 0 THEN (source_size + c) / target END AS y FROM t)
+SELECT doc_id, size, source_size, target, taken, round({positions_sql("x", "nth", SCHEDULES)}, 9) AS position, round({positions_sql("y", "nth", SCHEDULES)}, 9) AS position_again FROM x
 """
