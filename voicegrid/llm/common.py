@@ -1,6 +1,7 @@
 """What several operators share."""
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -22,7 +23,7 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a local master gets one of our own; others raise ValueError."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        if not spark.sparkContext.master.startswith("local["):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir isn't set; it has to name a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="voicegrid")
         atexit.register(shutil.rmtree, d, ignore_errors=True)
