@@ -6,7 +6,7 @@ is the sum, over the document's profile, of how far each n-gram is out of place
 SIZE places out. The nearest language wins, ties go to the smaller name.
 
 Language profiles are learned from SAMPLE documents a language at most, the first by MD5 of their id; n-gram counts
-of these are added up by Spark, and only the profiles reach the driver. There may be LANGUAGES of them. Every document is
+of these are added up by Spark, and only the profiles reach the driver. There may be LANGUAGES of them, more than are spoken. Every document is
 predicted, whole: n-grams of long texts are counted in pieces cut at words.
 
 A null text, or one without letters, is `und` with score 0, and so is every text if there is nothing to learn from. Equal
@@ -23,7 +23,9 @@ from pyspark.sql import functions as F
 from voicegrid.llm.common import md5_bits, table
 
 SIZE, ORDERS = 300, 5
-SAMPLE, LANGUAGES = 1_000, 1_000
+SAMPLE, LANGUAGES = 1_000, 10_000
+#: Parts of a language that are cut to SAMPLE rows each before they are ranked together, so that no task ranks all its documents.
+PARTS = 64
 PIECE = 1 << 20
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -103,7 +105,8 @@ def learn(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str
     rows = rows.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), order.alias("place"))
     if rows.select("lang").distinct().count() > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages")
-    picked = rows.select("lang", "place", F.row_number().over(Window.partitionBy("lang").orderBy("place", "id")).alias("n")).filter(F.col("n") <= SAMPLE)
+    first = lambda df, *by: df.withColumn("n", F.row_number().over(Window.partitionBy(*by).orderBy("place", "id"))).filter(F.col("n") <= SAMPLE)
+    picked = first(first(rows.select("lang", "place", "id", (F.col("place") % PARTS).alias("part")), "lang", "part"), "lang")
     limits = picked.groupBy(F.col("lang").alias("of")).agg(F.max("place").alias("most"))
     texts = rows.join(F.broadcast(limits), F.col("lang") == F.col("of")).filter("place <= most").select("lang", "text")
 

@@ -1,8 +1,8 @@
 """Nearest neighbours of a query set by a block matrix join.
 
 Vectors are dealt into candidate blocks and query blocks by a hash of their id; a tile is one of each. Within a tile, unit
-vectors rounded to int8 give all products at once (in float32, which holds such sums exactly) together with a bound on the
-rounding error. A pair survives if its upper bound reaches the k-th greatest lower bound of its query; survivors get their
+vectors rounded to int8 give all products at once (in float32, which holds such sums exactly up to EXACT components, in float64
+beyond) together with a bound on the rounding error. A pair survives if its upper bound reaches the k-th greatest lower bound of its query; survivors get their
 cosine in double precision from the original components, heaps keep k a query, and the tiles' lists are ranked together.
 
 The answer is exact: bounds only discard pairs that can't be among the k nearest. A tile holds CANDIDATES and QUERIES rows
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from voicegrid.llm.common import table
 
 CANDIDATES, QUERIES, SLICE, PAIRS = 8192, 4096, 256, 65536
+EXACT = (1 << 24) // 127**2
 SCHEMA = "query_id long, vec_id long, score double"
 
 
@@ -44,7 +45,7 @@ def _rounded(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     unit /= np.sqrt((unit * unit).sum(axis=1, keepdims=True))
     scale = np.abs(unit).max(axis=1) / 127
     q = np.rint(unit / scale[:, None])
-    return q.astype(np.float32), scale, np.sqrt(((unit - q * scale[:, None]) ** 2).sum(axis=1))
+    return q.astype(np.float32 if x.shape[1] <= EXACT else np.float64), scale, np.sqrt(((unit - q * scale[:, None]) ** 2).sum(axis=1))
 
 
 def _cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:

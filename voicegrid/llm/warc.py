@@ -14,7 +14,7 @@ executors leave unread files at worst.
 
 Null html is an empty payload, a null url an empty one; control characters in urls are percent-encoded. Rows that repeat an
 id: those with a payload's smallest id are all responses. Null ids: revisits if an id shares the payload, else responses.
-Long payloads make long frames. No rows in, no rows out.
+Long payloads make long frames; a row holds less than 2 GiB, so that frame sizes fit the 32 bits of the seek table. No rows in, no rows out.
 """
 
 import base64
@@ -168,8 +168,11 @@ def index(spark: SparkSession, at: str) -> DataFrame:
 
 
 def frames(spark: SparkSession, at: str, entries: DataFrame | None = None) -> DataFrame:
-    """Each frame that holds some of the index entries (all of them by default), with the offsets of those entries."""
-    return (index(spark, at) if entries is None else entries).groupBy("bundle", "frame").agg(F.collect_set("offset").alias("offsets")).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "bundle", "frame")
+    """Each frame that holds some of the index entries (all of them by default), with the offsets of those entries.
+
+    Frames are dealt by a hash other than that of the grouping, else the deal would be left out and small tables merged into one task.
+    """
+    return (index(spark, at) if entries is None else entries).groupBy("bundle", "frame").agg(F.collect_set("offset").alias("offsets")).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), F.hash("bundle", "frame"))
 
 
 def read(spark: SparkSession, at: str, entries: DataFrame | None = None) -> DataFrame:
