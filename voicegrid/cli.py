@@ -4,12 +4,14 @@ python -m voicegrid.cli transform --input_file posts.jsonl --output_file out --t
 """
 
 import argparse
+import importlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voicegrid.operators import clean, generate, grid
-from voicegrid.schemas import AUGMENTED
+from voicegrid.functions import text as X
+from voicegrid.operators import clean, generate, grid, progress
+from voicegrid.schemas import AUGMENTED, CORRUPT, ORIGINALS
 from voicegrid.sources import charts, files
 
 
@@ -17,11 +19,20 @@ def with_id(df: DataFrame) -> DataFrame:
     return df.withColumn("post_id", F.sha2("content", 256))
 
 
+def quarantined(df: DataFrame, path: str) -> DataFrame:
+    """The good rows. Lines that don't parse go to `path`_corrupt, as they are, and their number is said."""
+    good, bad = files.split_corrupt(df)
+    bad, seen = progress.observed(bad.select(F.col(CORRUPT).alias("value")), "corrupt")
+    bad.write.mode("overwrite").text(f"{path}_corrupt")
+    print(f"lines that don't parse: {seen.get['rows']}")
+    return good
+
+
 def run_transform(spark, a) -> None:
-    posts, _ = files.split_corrupt(files.read_originals(spark, a.input_file))
+    posts = quarantined(files.read_originals(spark, a.input_file), a.output_file)
     posts = with_id(clean.quality(clean.cleaned(posts)))
     if a.n_emotions < 6:
-        picked = grid.n_emotions(posts, "post_id", a.n_emotions).withColumnRenamed("emotion", "_picked")
+        picked = grid.n_emotions(generate.parted(posts), "post_id", a.n_emotions).withColumnRenamed("emotion", "_picked")
         rows = generate.rule_transform(grid.fan_out(picked).filter("emotion = _picked").drop("_picked"), "post_id")
     else:
         rows = generate.transform(posts, "post_id")
@@ -33,26 +44,39 @@ def run_transform(spark, a) -> None:
 
 
 def run_generate(spark, a) -> None:
+    """Originals by topic and emotion: from the model that --model names (module:function), with the keys of --env; else prompts' names."""
     rows = grid.topics_by_emotion(spark).withColumn("_i", F.explode(F.sequence(F.lit(1), F.lit(-(-a.count // 138)))))
-    rows = rows.select(F.concat_ws(" ", "topic", "emotion", F.col("_i").cast("string")).alias("content"))
-    files.write_jsonl(grid.target_count(rows, "content", a.count), a.output_file)
+    rows = grid.target_count(rows.withColumn("_n", F.concat_ws(" ", "topic", "emotion", F.col("_i").cast("string"))), "_n", a.count)
+    if not a.model:
+        files.write_jsonl(rows.select(F.col("_n").alias("content")), a.output_file)
+        return
+    module, _, name = a.model.partition(":")
+    keys = list(files.read_env(a.env, "API_KEY").values()) if a.env else 9
+    said = generate.call_model(generate.with_topic_prompt(rows), getattr(importlib.import_module(module), name), keys or 9, per_minute=a.per_minute)
+    said, seen = progress.observed(said, "generated", failed=F.col("raw").isNull())
+    said.write.mode("overwrite").parquet(f"{a.output_file}_raw")  # each call once, whatever is read from it
+    done = spark.read.parquet(f"{a.output_file}_raw")
+    print(progress.bar(seen.get["rows"] - seen.get["failed"], seen.get["rows"]))
+    files.write_jsonl(done.filter("raw is not null").select(F.col("raw").alias("content")), a.output_file)
 
 
 def run_profile(spark, a) -> None:
-    rows, _ = files.split_corrupt(files.read_augmented(spark, a.input_file))
+    rows = quarantined(files.read_augmented(spark, a.input_file), a.output_prefix)
     print(*charts.write_charts(rows, a.output_prefix, "content").values(), sep="\n")
 
 
 def run_merge(spark, a) -> None:
-    files.write_jsonl(clean.merge([files.split_corrupt(files.read_augmented(spark, p))[0] for p in a.input_file], AUGMENTED.names if a.dedup else None), a.output_file)
+    files.write_jsonl(clean.merge([quarantined(files.read_augmented(spark, p), f"{a.output_file}_{i}") for i, p in enumerate(a.input_file)], AUGMENTED.names if a.dedup else None), a.output_file)
 
 
 def run_unify(spark, a) -> None:
-    files.unify(spark, a.input_file, a.output_file, AUGMENTED)
+    files.unify(spark, a.input_file, a.output_file, ORIGINALS if a.originals else AUGMENTED)
 
 
 def run_filter(spark, a) -> None:
-    posts = clean.quality(clean.cleaned(files.read_text(spark, a.input_file)), least=a.min_len, most=a.max_len)
+    read = files.read_text(spark, a.input_file)
+    read = read.withColumn("content", X.html_to_text(F.col("content"))) if a.html else read
+    posts = clean.quality(clean.cleaned(read), least=a.min_len, most=a.max_len)
     files.write_jsonl(clean.keep_first(posts, "content", "content"), a.output_file)
 
 
@@ -61,11 +85,11 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> No
     sub = top.add_subparsers(dest="what", required=True)
     for name, run, flags in (
         ("transform", run_transform, {"--input_file": {"required": True}, "--output_file": {"required": True}, "--target_count": {"type": int, "default": 0}, "--n_emotions": {"type": int, "default": 6}}),
-        ("generate", run_generate, {"--output_file": {"required": True}, "--count": {"type": int, "required": True}}),
+        ("generate", run_generate, {"--output_file": {"required": True}, "--count": {"type": int, "required": True}, "--model": {}, "--env": {}, "--per_minute": {"type": int, "default": 15}}),
         ("profile", run_profile, {"--input_file": {"required": True}, "--output_prefix": {"required": True}}),
         ("merge", run_merge, {"--input_file": {"nargs": "+", "required": True}, "--output_file": {"required": True}, "--dedup": {"action": "store_true"}}),
-        ("unify", run_unify, {"--input_file": {"required": True}, "--output_file": {"required": True}}),
-        ("filter", run_filter, {"--input_file": {"required": True}, "--output_file": {"required": True}, "--min_len": {"type": int, "default": 5}, "--max_len": {"type": int, "default": 500}}),
+        ("unify", run_unify, {"--input_file": {"required": True}, "--output_file": {"required": True}, "--originals": {"action": "store_true"}}),
+        ("filter", run_filter, {"--input_file": {"required": True}, "--output_file": {"required": True}, "--min_len": {"type": int, "default": 5}, "--max_len": {"type": int, "default": 500}, "--html": {"action": "store_true"}}),
     ):
         p = sub.add_parser(name)
         p.set_defaults(run=run)

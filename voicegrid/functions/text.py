@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 WORDS = r"[^\x20\x09-\x0D]+"
 SPACES = "[ \t\n\r\x0b\x0c 　]+"
 CONTROLS = "[\x00-\x08\x0e-\x1f\x7f]"
+#: Characters at the end of a post among which its ending is looked for; no polite ending is longer.
+TAIL = 32
 EMOJI = "[\U0001f300-\U0001faff☀-➿]"
 
 
@@ -40,9 +42,13 @@ def emoji_count(x: Column) -> Column:
     return F.regexp_count(x, F.lit(EMOJI)).cast("bigint")
 
 
+def hangul_count(x: Column) -> Column:
+    return F.regexp_count(x, F.lit("[가-힣]")).cast("bigint")
+
+
 def hangul_share(x: Column) -> Column:
     """Share of Hangul syllables among all code points; 0 for the empty text."""
-    return F.when(F.length(x) > 0, F.regexp_count(x, F.lit("[가-힣]")) / F.length(x)).otherwise(F.when(x.isNotNull(), F.lit(0.0)))
+    return F.when(F.length(x) > 0, hangul_count(x) / F.length(x)).otherwise(F.when(x.isNotNull(), F.lit(0.0)))
 
 
 def symbol_share(x: Column) -> Column:
@@ -55,9 +61,22 @@ def good_length(x: Column, least: int = 5, most: int = 500) -> Column:
     return F.coalesce(F.length(x).between(least, most) & (F.trim(x) != ""), F.lit(False))
 
 
+def stem_and_mark(x: Column, polite: str = "") -> tuple[Column, Column]:
+    """A sentence without its last punctuation marks (and a polite ending), and the last mark, '.' if there is none.
+
+    Only the last TAIL characters go through regular expressions, the whole text only if all of those are marks.
+    """
+    tail = F.right(x, F.lit(TAIL))
+    short = F.regexp_replace(tail, "[.!?]+$", "")
+    stem = F.when(short == "", F.regexp_replace(x, "[.!?]+$", "")).otherwise(F.concat(F.left(x, F.greatest(F.length(x) - TAIL, F.lit(0))), short))
+    if polite:
+        kept = F.right(stem, F.lit(TAIL))
+        stem = F.concat(F.left(stem, F.greatest(F.length(stem) - TAIL, F.lit(0))), F.regexp_replace(kept, polite, ""))
+    last = F.right(x, F.lit(1))
+    return stem, F.when(last.isin(".", "!", "?"), last).otherwise(F.lit("."))
+
+
 def with_ending(x: Column, ending: Column, polite: str = "") -> Column:
     """The sentence end gives way to an animal's ending; the last punctuation mark stays, '.' if there is none."""
-    stem, mark = F.regexp_replace(x, "[.!?]+$", ""), F.regexp_extract(x, "([.!?])$", 1)
-    if polite:
-        stem = F.regexp_replace(stem, polite, "")
-    return F.concat(stem, ending, F.when(mark == "", F.lit(".")).otherwise(mark))
+    stem, mark = stem_and_mark(x, polite)
+    return F.concat(stem, ending, mark)

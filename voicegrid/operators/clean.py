@@ -35,6 +35,12 @@ def keep_first(df: DataFrame, key: str | Column, order: str, carry: list[str] |
     return df.groupBy(F.sha2(F.coalesce(F.concat(F.lit("+"), k), F.lit("-")), 256).alias("_k")).agg(F.min_by(row, F.struct(order, F.xxhash64(row))).alias("_r")).select("_r.*")
 
 
+def newest(df: DataFrame, key: list[str], version: str) -> DataFrame:
+    """The row of the greatest `version` for each key; of equals, that with the smallest hash. Null versions are the oldest."""
+    row = F.struct(*df.columns)
+    return df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)]).agg(F.max_by(row, F.struct(F.col(version), -F.xxhash64(row).cast("decimal(20,0)"))).alias("_r")).select("_r.*")
+
+
 def domain_check(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Augmented rows with both enums in their domains (in lower case), and the others."""
     df = df.withColumns({c: F.lower(F.trim(c)) for c in ("emotion", "post_type")})

@@ -4,6 +4,8 @@
 natural style need a model. `call_model` is the seam for one.
 """
 
+import time
+from collections import deque
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -16,17 +18,43 @@ from voicegrid.functions import text as X
 from voicegrid.operators import grid
 
 
-def rule_transform(df: DataFrame, key: str, content: str = "content", polite: str = rules.POLITE) -> DataFrame:
-    """Rows of a fan-out with `transformed_content`: an ending, the last punctuation mark, and the cell's emoji if it has any. Null texts stay null."""
+def parted(posts: DataFrame, content: str = "content", polite: str = rules.POLITE) -> DataFrame:
+    """The posts with `_s`, what all rewritings of a post share: its stem and its last punctuation mark."""
+    stem, mark = X.stem_and_mark(F.col(content), polite)
+    return posts.withColumn("_s", F.struct(stem.alias("stem"), mark.alias("mark")))
+
+
+def suffixed(df: DataFrame, key: str) -> DataFrame:
+    """Rows of a fan-out with `_x`: what follows the stem in each cell, as a struct of ending and emoji (null if the cell has none)."""
     seed = F.concat_ws("|", F.col(key).cast("string"), "post_type", "emotion")
-    ending, emoji = X.pick(F.col("endings"), seed), X.pick(F.col("emojis"), seed)
-    spoken = X.with_ending(F.col(content), ending, polite)
-    return df.withColumn("transformed_content", F.when(F.col(content).isNotNull(), F.concat_ws(" ", spoken, emoji)))
+    return df.withColumn("_x", F.struct(X.pick(F.col("endings"), seed).alias("ending"), X.pick(F.col("emojis"), seed).alias("emoji")))
+
+
+def rule_transform(df: DataFrame, key: str, content: str = "content") -> DataFrame:
+    """Rows of a fan-out of parted posts with `transformed_content`: an ending, the last punctuation mark, and the cell's emoji if it has any. Null texts stay null."""
+    spoken = F.concat("_s.stem", "_x.ending", "_s.mark")
+    return suffixed(df, key).withColumn("transformed_content", F.when(F.col(content).isNotNull(), F.concat_ws(" ", spoken, "_x.emoji"))).drop("_s", "_x")
 
 
 def transform(posts: DataFrame, key: str, content: str = "content") -> DataFrame:
-    """Every post in all twelve voices: the flagship plan. One stage, no shuffle."""
-    return rule_transform(grid.fan_out(posts), key, content).drop("tone", "endings", "emojis")
+    """Every post in all twelve voices: the flagship plan. One stage, no shuffle; a post is taken apart once, before the fan-out."""
+    return rule_transform(grid.fan_out(parted(posts, content)), key, content).drop("tone", "endings", "emojis")
+
+
+def voice_profile(posts: DataFrame, key: str, content: str = "content") -> DataFrame:
+    """key, post_type, emotion, emojis (their number) and hangul (share of Hangul) of every post in all twelve voices.
+
+    Characters of a stem are counted once a post, before the fan-out, and those of ending, mark and emoji added to them.
+    """
+    one = parted(posts, content)
+    stem = F.col("_s.stem")
+    one = one.select(key, F.col("_s.mark").alias("mark"), F.struct(X.emoji_count(stem).alias("emojis"), X.hangul_count(stem).alias("hangul"), F.length(stem).alias("chars")).alias("_n"))
+    # the counts are carried as rows, so that no later step repeats them
+    rows = suffixed(grid.fan_out(one.select(key, "mark", F.explode_outer(F.array("_n")).alias("_n"))), key)
+    added = F.concat("_x.ending", "mark", F.when(F.col("_x.emoji").isNotNull(), F.concat(F.lit(" "), F.col("_x.emoji"))).otherwise(F.lit("")))
+    rows = rows.select(key, "post_type", "emotion", "_n", added.alias("_a"))
+    hangul = (F.col("_n.hangul") + X.hangul_count(F.col("_a"))) / (F.col("_n.chars") + F.length("_a"))
+    return rows.select(key, "post_type", "emotion", (F.col("_n.emojis") + X.emoji_count(F.col("_a"))).alias("emojis"), F.round(hangul, 6).alias("hangul"))
 
 
 def with_prompt(df: DataFrame, template: str = rules.PROMPT, content: str = "content") -> DataFrame:
@@ -37,22 +65,48 @@ def with_prompt(df: DataFrame, template: str = rules.PROMPT, content: str = "con
     return df.withColumn("prompt", out).withColumn("request_id", F.sha2("prompt", 256))
 
 
-def call_model(df: DataFrame, model: Callable[[str], str], keys: int = 9, attempts: int = 2) -> DataFrame:
-    """Rows of `with_prompt` with columns `raw` and `error`.
+class Allowance:
+    """Waits until a key may be used again: `most` calls in any `seconds`."""
 
-    mapInPandas runs once for each row, where a plain UDF may be evaluated twice. There is a partition for each API key at
-    most. Write the result before using it twice; a retried task repeats its calls, and `request_id` tells the repeats.
-    An exception is tried again, then kept in `error` with a null `raw`.
+    def __init__(self, most: int, seconds: float = 60, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep):
+        self.most, self.seconds, self.clock, self.sleep, self.times = most, seconds, clock, sleep, deque()
+
+    def wait(self) -> None:
+        while len(self.times) >= self.most:
+            left = self.times[0] + self.seconds - self.clock()
+            if left > 0:
+                self.sleep(left)
+            self.times.popleft()
+        self.times.append(self.clock())
+
+
+def call_model(df: DataFrame, model: Callable[..., str], keys: int | list[str] = 9, attempts: int = 2, per_minute: int | None = None, batch_rows: int | None = None, seconds: float = 60) -> DataFrame:
+    """Rows of `with_prompt` with columns `raw`, `error` and `key_id`.
+
+    mapInPandas runs once for each row, where a plain UDF may be evaluated twice. Each API key has one partition of its own, dealt by
+    the hash of the request, so that its allowance of `per_minute` calls in `seconds` is kept within one task. With a list of keys the model
+    gets (prompt, key); keys are part of the task's closure and never become columns. Spark hands rows over in batches of
+    `batch_rows` (its own setting by default).
+
+    Write the result before using it twice; a retried task repeats its calls, and `request_id` tells the repeats. An exception
+    is tried again, which counts against the allowance, then kept in `error` with a null `raw`.
     """
+    secrets = keys if isinstance(keys, list) else None
+    n = len(secrets) if secrets else keys
+    if batch_rows:
+        df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch_rows)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        allowances: dict[int, Allowance] = {}
         for pdf in batches:
             raws, errors = [], []
-            for prompt in pdf["prompt"]:
+            for prompt, key in zip(pdf["prompt"], pdf["key_id"], strict=True):
                 raw = error = None
                 for _ in range(attempts):
+                    if per_minute:
+                        allowances.setdefault(key, Allowance(per_minute, seconds)).wait()
                     try:
-                        raw, error = model(prompt), None
+                        raw, error = model(prompt, secrets[key]) if secrets else model(prompt), None
                         break
                     except Exception as e:  # whatever a client raises; it is kept in the row
                         error = f"{type(e).__name__}: {e}"
@@ -60,8 +114,17 @@ def call_model(df: DataFrame, model: Callable[[str], str], keys: int = 9, attemp
                 errors.append(error)
             yield pdf.assign(raw=raws, error=errors)
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", raw string, error string"
-    return df.repartition(keys).mapInPandas(run, schema)
+    rows = df.withColumn("key_id", F.pmod(F.xxhash64("request_id"), F.lit(n)).cast("int")).repartitionByRange(n, "key_id")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", raw string, error string"
+    return rows.mapInPandas(run, schema)
+
+
+def with_topic_prompt(df: DataFrame, template: str = rules.TOPIC_PROMPT) -> DataFrame:
+    """The prompt for an original about each row's topic in its emotion; `_i` tells repeats apart."""
+    out = F.lit(template)
+    for name in ("topic", "emotion"):
+        out = F.replace(out, F.lit("{" + name + "}"), F.col(name))
+    return df.withColumn("prompt", out).withColumn("request_id", F.sha2(F.concat_ws("|", "prompt", F.col("_i").cast("string")), 256))
 
 
 def parsed(df: DataFrame, raw: str = "raw") -> tuple[DataFrame, DataFrame]:

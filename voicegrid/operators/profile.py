@@ -12,6 +12,11 @@ def counts(df: DataFrame, by: list[str], length_of: str | None = None) -> DataFr
     return df.groupBy(*by).agg(*aggs)
 
 
+def counts_by_file(df: DataFrame, length_of: str | None = None) -> DataFrame:
+    """Rows and, if asked, mean length of each file that the rows were read from."""
+    return counts(df.select("*", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file")), ["file"], length_of)
+
+
 def shares(df: DataFrame, by: list[str]) -> DataFrame:
     """Rows by group, and their share of all in percent."""
     n = counts(df, by)

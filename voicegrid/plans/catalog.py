@@ -4,6 +4,9 @@ The driver's tables stand in for posts: `documents` for originals with (source,
 `conversations` for short posts, `events` for API calls with user_id % 9 as key.
 """
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +14,7 @@ from voicegrid import rules
 from voicegrid.functions import jsonfix
 from voicegrid.functions import text as X
 from voicegrid.operators import clean, generate, grid, profile, schedule
+from voicegrid.sources import files
 
 LANGS = ["de", "en", "es", "fr"]
 
@@ -32,6 +36,13 @@ def _admitted(s, d):
     return schedule.admitted(_calls(s, d), "ts", "key_id", "event_id", "hour", 2).select("event_id", "key_id", "admitted")
 
 
+def _round_trip(s, d):
+    """Originals written as JSONL to the shared folder and read back."""
+    to = f"{s.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp()}/jsonl-{uuid.uuid4()}"
+    files.write_jsonl(table(s, d, "documents").select(F.col("text").alias("content")), to)
+    return files.split_corrupt(files.read_originals(s, to))[0]
+
+
 QUERIES = {
     "q01_counts": lambda s, d: profile.counts(table(s, d, "documents"), ["lang"], "text"),
     "q02_mean_length": lambda s, d: profile.counts(table(s, d, "documents"), [], "text"),
@@ -46,6 +57,7 @@ QUERIES = {
     "q10_html": lambda s, d: table(s, d, "pages").select("page_id", X.html_to_text(F.col("html")).alias("content")),
     "q11_quality": lambda s, d: clean.quality(table(s, d, "documents"), "text", 5, 2000, symbols=0.2).select("doc_id", "n_chars"),
     "q12_keep_first": lambda s, d: clean.keep_first(table(s, d, "documents"), "text", "doc_id", ["doc_id", "n_chars"]),
+    "q12b_newest": lambda s, d: clean.newest(table(s, d, "documents").select("doc_id", "source", "lang", "n_chars"), ["source", "lang"], "doc_id"),
     "q13_semi": lambda s, d: table(s, d, "documents").join(table(s, d, "labels").select("doc_id"), "doc_id", "left_semi").select("doc_id", "lang"),
     "q14_anti": lambda s, d: table(s, d, "documents").join(table(s, d, "labels").select("doc_id"), "doc_id", "left_anti").select("doc_id", "lang"),
     "q15_merge": lambda s, d: clean.merge([table(s, d, "documents").select(F.col("text").alias("content")), table(s, d, "conversations").filter("role = 'user'").select(F.col("text").alias("content"))]),
@@ -67,7 +79,9 @@ QUERIES = {
     "q29_json_field": lambda s, d: table(s, d, "events").select("event_id", jsonfix.parse(F.col("props"), "k bigint")["k"].alias("k")),
     "q30_json_repair": lambda s, d: table(s, d, "events").select("event_id", jsonfix.parse(_broken(F.col("props"), F.col("event_id")), "k bigint")["k"].alias("k")),
     "q31_ratio": lambda s, d: profile.ratio(table(s, d, "documents").select("doc_id"), grid.fan_out(table(s, d, "documents").select("doc_id"))),
-    "q32_hangul_emoji": lambda s, d: generate.transform(table(s, d, "documents").select("doc_id", F.col("text").alias("content")), "doc_id").select("doc_id", "post_type", "emotion", X.emoji_count(F.col("transformed_content")).alias("emojis"), F.round(X.hangul_share(F.col("transformed_content")), 6).alias("hangul")),
+    "q33_jsonl": _round_trip,
+    "q34_domain_check": lambda s, d: clean.domain_check(table(s, d, "documents").select("doc_id", F.when(F.col("doc_id") % 3 == 0, " Happy").when(F.col("doc_id") % 3 == 1, "SAD ").otherwise("odd").alias("emotion"), F.lit("Cat").alias("post_type"), F.col("text").alias("transformed_content")))[0].select("doc_id", "emotion"),
+    "q32_hangul_emoji": lambda s, d: generate.voice_profile(table(s, d, "documents").select("doc_id", F.col("text").alias("content")), "doc_id"),
 }
 
 _H = "('0x' || substr(md5({}), 1, 8))::BIGINT"
@@ -102,6 +116,9 @@ SQL = {
     "q10_html": f"SELECT page_id, {_STRIP.format(_HTML)} AS content FROM pages",
     "q11_quality": r"SELECT doc_id, n_chars FROM documents WHERE length(text) BETWEEN 5 AND 2000 AND trim(text, ' ') <> '' AND length(regexp_replace(text, '[\p{L}\p{N}\s]', '', 'g')) / length(text) <= 0.2",
     "q12_keep_first": "SELECT min(doc_id) AS doc_id, min(n_chars) AS n_chars FROM documents GROUP BY text",
+    "q12b_newest": "SELECT doc_id, source, lang, n_chars FROM documents QUALIFY row_number() OVER (PARTITION BY source, lang ORDER BY doc_id DESC) = 1",
+    "q33_jsonl": "SELECT text AS content FROM documents",
+    "q34_domain_check": "SELECT doc_id, trim(lower(CASE WHEN doc_id % 3 = 0 THEN ' Happy' WHEN doc_id % 3 = 1 THEN 'SAD ' ELSE 'odd' END), ' ') AS emotion FROM documents WHERE doc_id % 3 < 2 AND text IS NOT NULL",
     "q13_semi": "SELECT doc_id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)",
     "q14_anti": "SELECT doc_id, lang FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)",
     "q15_merge": "SELECT text AS content FROM documents UNION ALL SELECT text FROM conversations WHERE role = 'user'",

@@ -41,6 +41,8 @@ POLITE = "(습니다|네요|이에요|예요|어요|아요|해요|요)$"
 #: How many topics seed generated originals. Their names are configuration; these are placeholders.
 TOPICS = [f"topic_{i:02d}" for i in range(1, 24)]
 
+TOPIC_PROMPT = "Write one short social media post about {topic} in a {emotion} mood."
+
 PROMPT = "Rewrite the post as a {post_type} in a {emotion} mood ({tone}). Endings: {endings}. Emojis: {emojis}. Post: {content}"
 
 

@@ -19,7 +19,8 @@ def bars(rows: list[tuple[str, float]], title: str) -> str:
 
 
 def write_charts(df: DataFrame, prefix: str, length_of: str | None = None) -> dict[str, str]:
-    """Charts by post type, by emotion and by both, and of lengths if asked. Only aggregates reach the driver, and at most MOST_BARS bars."""
+    """Charts by post type, by emotion and by both, and of lengths if asked. Only aggregates reach the driver, the MOST_BARS first
+    bars of a chart and one for the sum of all others."""
     out = {}
     for name, by in (("post_type_distribution", ["post_type"]), ("emotion_distribution", ["emotion"]), ("post_type_emotion_distribution", ["post_type", "emotion"])):
         if set(by) <= set(df.columns):
@@ -29,5 +30,8 @@ def write_charts(df: DataFrame, prefix: str, length_of: str | None = None) -> di
     paths = {}
     for name, table in out.items():
         paths[name] = f"{prefix}_{name}.svg"
-        Path(paths[name]).write_text(bars([(r["k"], r["n"]) for r in table.limit(MOST_BARS).collect()], name), encoding="utf-8")
+        rows = [(r["k"], r["n"]) for r in table.limit(MOST_BARS).collect()]
+        others = table.agg(F.sum("n")).first()[0] if len(rows) == MOST_BARS else 0
+        others = (others or 0) - sum(n for _, n in rows) if others else 0
+        Path(paths[name]).write_text(bars([*rows, *[("all others", others)] * bool(others)], name), encoding="utf-8")
     return paths
