@@ -22,7 +22,8 @@ def with_id(df: DataFrame) -> DataFrame:
 def quarantined(df: DataFrame, path: str) -> DataFrame:
     """The good rows. Lines that don't parse go to `path`_corrupt, as they are, and their number is said."""
     good, bad = files.split_corrupt(df)
-    bad, seen = progress.observed(bad.select(F.col(CORRUPT).alias("value")), "corrupt")
+    # Spark refuses to read nothing but the corrupt lines, so another column comes along
+    bad, seen = progress.observed(bad.select(F.coalesce(CORRUPT, df.columns[0]).alias("value")), "corrupt")
     bad.write.mode("overwrite").text(f"{path}_corrupt")
     print(f"lines that don't parse: {seen.get['rows']}")
     return good
