@@ -25,7 +25,8 @@ from voicegrid.llm.common import md5_bits, table
 
 BITS, PAIR = 18, 65_599
 SAMPLE, EPOCHS = 12_000, 4
-ALPHA, BETA, L1, L2 = 8.0, 1.0, 0.02, 0.0
+#: Learning rate and penalty with the least log loss on a quarter of the training rows of sf0.1, of rates 0.5, 2, 8 and penalties 0, 0.02, 0.2.
+ALPHA, BETA, L1, L2 = 8.0, 1.0, 0.2, 0.0
 TOKENS = re.compile(r"\w+|[^\w\s]+")
 CACHE = 300_000
 
