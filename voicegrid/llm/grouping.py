@@ -16,12 +16,13 @@ def buckets(nodes: DataFrame) -> DataFrame:
     return saved(member.join(shared, F.col("band") == F.col("_b"), "left_semi").select("band", "key", "x"))
 
 
-def connect(met: DataFrame, fits: Callable[[Column, Column], Column], verify: Callable[[DataFrame], DataFrame], rest: Callable[[DataFrame], DataFrame] | None = None, rounds: int = 1) -> DataFrame:
+def connect(met: DataFrame, fits: Callable[[Column, Column], Column], verify: Callable[[DataFrame], DataFrame], rest: Callable[[DataFrame], DataFrame] | None = None, hubs: int = 1) -> DataFrame:
     """Components (node, root) of all links between members (band, key, x) of the same bucket.
 
-    In `rounds` rounds, members are compared with one member of each of their buckets, another one in each bucket and round;
-    after the first, only those outside that one's component are. Then, where links have left several components in a bucket,
-    each member outside its first component is compared with all members of other components. So each two members of a
+    First, members are compared with one member of each of their buckets, its hub. Where that leaves several components in a
+    bucket, members are compared with up to `hubs - 1` more hubs, if they are outside those ones' components. A hub has then met
+    all others, so it leaves its bucket, as buckets do in which no two members are left to compare. Where several components
+    remain, each member outside the first one is compared with all members of other components. So each two members of a
     bucket are compared or already connected, while a bucket of members that are alike costs a few comparisons a member.
 
     `fits(x, y)` is a cheap test without which there is no link. `verify(pairs)` keeps the linked ones of pairs (a, b).
@@ -29,22 +30,26 @@ def connect(met: DataFrame, fits: Callable[[Column, Column], Column], verify: Ca
     component); by default a join does.
     """
     found, part = None, None
-    for i in range(rounds):
+    for seeds in filter(None, ([0], list(range(1, hubs)))):
         named = met.withColumn("root", F.col("key")) if part is None else _named(met, part)
-        hub = named.groupBy(F.col("band").alias("_b")).agg(F.min_by(F.struct("key", "x", "root"), F.struct(F.xxhash64("key", "band", F.lit(i)), "key")).alias("hub"))
-        pairs = named.join(hub, F.col("band") == F.col("_b")).filter((F.col("root") != F.col("hub.root")) & fits(F.col("x"), F.col("hub.x")))
-        pairs = saved(pairs.select(F.least("key", "hub.key").alias("a"), F.greatest("key", "hub.key").alias("b")).distinct())
-        if found is not None and not pairs.head(1):
-            break
-        links = saved(verify(pairs))
-        if found is not None and not links.head(1):
-            break
-        found = links if found is None else found.unionAll(links)
-        part = components(found)
+        hub = [F.min_by(F.struct("key", "x", "root"), F.struct(F.xxhash64("key", "band", F.lit(i)), "key")).alias(f"h{i}") for i in seeds]
+        hub = named.groupBy(F.col("band").alias("_b")).agg(F.min("root").alias("_m"), F.max("root").alias("_x"), F.count("*").alias("_n"), *hub).filter("_m != _x")
+        to = [F.when((F.col("root") != F.col(f"h{i}.root")) & fits(F.col("x"), F.col(f"h{i}.x")), F.col(f"h{i}.key")) for i in seeds]
+        stays = (F.col("_n") > 2) & ~F.col("key").isin(*[F.col(f"h{i}.key") for i in seeds])
+        dealt = named.join(hub, F.col("band") == F.col("_b")).select("band", "key", "x", stays.alias("stays"), F.array(*to).alias("to"))
+        dealt = saved(dealt.filter(F.col("stays") | F.exists("to", lambda h: h.isNotNull())))
+        pairs = dealt.select("key", F.explode("to").alias("h")).filter("h is not null")
+        pairs = saved(pairs.select(F.least("key", "h").alias("a"), F.greatest("key", "h").alias("b")).distinct())
+        met = dealt.filter("stays").select("band", "key", "x")
+        if found is None or pairs.head(1):
+            links = saved(verify(pairs))
+            found = links if found is None else found.unionAll(links)
+            part = components(found)
     named = _named(met, part)
     first = named.groupBy(F.col("band").alias("_b")).agg(F.min("root").alias("_m"), F.max("root").alias("_x")).filter("_m != _x").select("_b", "_m")
     open_ = named.join(first, F.col("band") == F.col("_b")).select("band", "key", "x", "root", (F.col("root") != F.col("_m")).alias("apart"))
-    links = saved(verify(saved((rest or _joined(fits))(open_))))
+    pairs = saved((rest or _joined(fits))(open_))
+    links = saved(verify(pairs)) if pairs.head(1) else pairs
     return components(found.unionAll(links)) if links.head(1) else part
 
 

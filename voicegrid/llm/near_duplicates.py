@@ -265,7 +265,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lik
 
     met = buckets(nodes.select("key", F.col("n").alias("x"), "bands"))
     texts = saved(texts_of(met.select("key").distinct()))
-    part = connect(met, lambda x, y: F.least(x, y) >= like * F.greatest(x, y), lambda pairs: verified(screened(pairs, nodes, like), texts, like), lambda rows: agreeing(rows, nodes, like), rounds=2)
+    part = connect(met, lambda x, y: F.least(x, y) >= like * F.greatest(x, y), lambda pairs: verified(screened(pairs, nodes, like), texts, like), lambda rows: agreeing(rows, nodes, like), hubs=2)
     of = nodes.select("key", "name").join(part, F.col("key") == F.col("node"), "left").select("key", "name", F.coalesce("root", "key").alias("root"))
     best = of.groupBy(F.col("root").alias("_r")).agg(F.min("name").alias("best"))
     of = of.join(best, F.col("root") == F.col("_r")).select(F.col("key").alias("_k"), "best")
