@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from voicegrid.llm.common import saved
 from voicegrid.llm.components import components
 
+#: Buckets of a member by which the last step tells whether another bucket has the pair.
+LISTED = 8
+
 
 def buckets(nodes: DataFrame) -> DataFrame:
     """band, key and x of each node (key, x, bands) that shares a band with others."""
@@ -59,8 +62,16 @@ def _named(met: DataFrame, part: DataFrame) -> DataFrame:
 
 
 def _joined(fits: Callable[[Column, Column], Column]) -> Callable[[DataFrame], DataFrame]:
+    """Pairs of an open bucket by a join, each of them in one bucket and once, as far as the LISTED least buckets of both tell."""
+
     def pairs(open_: DataFrame) -> DataFrame:
-        apart = open_.filter("apart").select(F.col("band").alias("_band"), F.col("key").alias("k"), F.col("x").alias("y"), F.col("root").alias("r"))
-        return open_.join(apart, (F.col("band") == F.col("_band")) & (F.col("root") != F.col("r")) & fits(F.col("x"), F.col("y"))).select(F.least("k", "key").alias("a"), F.greatest("k", "key").alias("b")).distinct()
+        open_ = saved(open_)
+        least = open_.groupBy(F.col("key").alias("_key")).agg(F.slice(F.sort_array(F.collect_set("band")), 1, LISTED).alias("least"))
+        open_ = saved(open_.join(least, F.col("key") == F.col("_key")).drop("_key"))
+        apart = open_.filter("apart").select(F.col("band").alias("_band"), F.col("key").alias("k"), F.col("x").alias("y"), F.col("root").alias("r"), F.col("least").alias("l"))
+        once = ~F.col("apart") | (F.col("key") < F.col("k"))
+        both = (F.col("band") == F.col("_band")) & (F.col("root") != F.col("r")) & once & fits(F.col("x"), F.col("y"))
+        both &= F.coalesce(F.array_min(F.array_intersect("least", "l")) == F.col("band"), F.lit(True))
+        return open_.join(apart, both).select(F.least("k", "key").alias("a"), F.greatest("k", "key").alias("b")).distinct()
 
     return pairs
