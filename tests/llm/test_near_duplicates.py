@@ -1,10 +1,13 @@
 from collections import defaultdict
 from itertools import combinations
+from pathlib import Path
+from urllib.parse import urlparse
 
 import pytest
 from pyspark.sql import functions as F
 
 from voicegrid.llm import near_duplicates as nd
+from voicegrid.llm.common import shared_dir
 from voicegrid.llm.components import components
 
 SF = "/root/testdata/sf0.01/documents.parquet"
@@ -78,3 +81,21 @@ def test_components_of_a_chain(spark, n):
     edges = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(100 + i, 100) for i in range(1, n)], "x long, y long")
     got = {r.node: r.root for r in components(edges).collect()}
     assert got == {i: 0 for i in range(n + 1) if n} | {100 + i: 100 for i in range(n) if n > 1}
+
+
+def test_texts_are_shuffled_once_and_tables_go(spark):
+    saved = lambda: {p.name for p in Path(urlparse(shared_dir(spark)).path).glob("saved-*")}
+    shared_dir(spark)
+    before = saved()
+    rows = [(1, "one two three four five six", "a"), (1, "one two three four five six", "b"), (None, "one two three four five six seven eight", "c"), (2, "One two three four five six!", "d"), (3, None, "e"), (3, None, "f")]
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = nd.deduplicated(spark.createDataFrame(rows, "doc_id long, text string, m string"))
+        assert len(saved() - before) == 1
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        got = out.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert plan.count("Exchange hashpartitioning") == 2  # of texts and of the ids that stay
+    assert sorted((str(r.doc_id), str(r.text)) for r in got) == sorted([("1", rows[0][1]), ("None", rows[2][1]), ("3", "None"), ("3", "None")])

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from voicegrid.llm.common import saved, table
+from voicegrid.llm.common import lasting, saved, table
 from voicegrid.llm.grouping import buckets, connect
 
 WORDS, LIKE = 5, 0.8
@@ -276,11 +276,13 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lik
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", like: float = LIKE) -> DataFrame:
     """One row of each class, whole; null texts stay."""
-    keep = classes(docs, id_col, text_col, like).filter("kept").select(F.col("doc_id").alias("_d"), F.col("th").alias("_h")).distinct()
-    rows = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_th"), F.col(text_col).isNull().alias("_null"))
-    stay = rows.join(keep, F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_th") == F.col("_h")), "left_semi")
-    texts = stay.filter("not _null").dropDuplicates(["_id", "_th"])
-    return texts.unionAll(stay.filter("_null")).select("_row.*")
+    keep = lambda: classes(docs, id_col, text_col, like).filter("kept").select(F.struct("doc_id", "th").alias("_k")).distinct()
+    (keep,) = lasting(docs.sparkSession, keep)
+    # one key for the join and for rows that repeat, so that texts are shuffled once; a hash that is never null would be cast for the join
+    th = F.when(F.col(text_col).isNotNull(), F.xxhash64(text_col))
+    rows = docs.select(F.struct("*").alias("_row"), F.struct(F.col(id_col).alias("doc_id"), th.alias("th")).alias("_of"), F.col(text_col).isNull().alias("_null"))
+    texts = rows.filter("not _null").join(keep, F.col("_of") == F.col("_k"), "left_semi").dropDuplicates(["_of"])
+    return texts.unionAll(rows.filter("_null")).select("_row.*")
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
