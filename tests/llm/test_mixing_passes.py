@@ -20,3 +20,17 @@ def test_second_pass_follows_the_schedule(spark):
     seq = [r.doc_id for r in mixing.mixed(df).withColumn("n", F.monotonically_increasing_id()).orderBy("n").collect() if r.source == "s0"]
     order = [r.doc_id for r in sorted(twice, key=lambda r: r.position)]
     assert seq == order + order
+
+
+def test_words_are_counted_once(spark):
+    """Rows meet what the mix takes of them by the hash of their text; rows that share id, source and size still share it."""
+    rows = [(None, "a b c", "x"), (None, "d e f", "x"), (None, "a b c", "x"), (1, None, "x"), (1, "", "x"), (2, "g h", None), (3, "i j k l", "y")]
+    out = mixing.mixed(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    assert "regexp" not in out._jdf.queryExecution().optimizedPlan().toString()
+    taken = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    got = [(r.doc_id, r.text, r.source) for r in out.collect()]
+    for i, t, s in set(rows):
+        size = len((t or "").split())
+        alike = [r for r in taken if (r.doc_id, r.source, r.size) == (i, s, size)]
+        each = int(sum(r.taken for r in alike) / len(alike) / size + 0.5) if size else 1
+        assert got.count((i, t, s)) == each * rows.count((i, t, s))

@@ -62,10 +62,11 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int =
     return df.select("source", "source_size", "nth", F.when(F.col("_full"), F.col("_cap").cast("double")).otherwise(rest / free * F.col("_w")).alias("target"))
 
 
-def placed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, share: float = SHARE, most: int = MOST, schedules=SCHEDULES) -> DataFrame:
-    """doc_id, h, size, source, source_size, target, taken, and _p0, _p1 and so on, the position in each pass (null where it takes nothing)."""
+def placed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, share: float = SHARE, most: int = MOST, schedules=SCHEDULES, hashed: bool = False) -> DataFrame:
+    """doc_id, h, size, source, source_size, target, taken, th (the text's hash) if `hashed`, and _p0, _p1 and so on, the position in each pass (null where it takes nothing)."""
     h = md5_bits(F.coalesce(F.col(id_col).cast("string"), F.lit("null")))
-    rows = saved(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), h.alias("h")).withColumn("b", F.floor(F.col("h") / (2**32 // BUCKETS)).cast("int")))
+    th = [F.xxhash64(text_col).alias("th")] if hashed else []
+    rows = saved(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), h.alias("h"), *th).withColumn("b", F.floor(F.col("h") / (2**32 // BUCKETS)).cast("int")))
     sums = rows.groupBy("source", "b").agg(F.sum("size").alias("n"))
     goals = targets(sums.groupBy("source").agg(F.sum("n").alias("source_size")), weights, share, most)
     before = Window.partitionBy("source").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
@@ -80,7 +81,7 @@ def placed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
     df = df.withColumns({f"_x{j}": F.when(F.col(f"_t{j}") > 0, (j * F.col("source_size") + F.col("_c")) / F.col("target")) for j in range(most)})
     at = {f"_p{j}": F.round(F.expr(positions_sql(f"_x{j}", "nth", schedules)), 9) for j in range(most)}
     df = df.withColumns({"taken": sum((F.col(f"_t{j}") for j in range(most)), F.lit(0)).cast("bigint"), **at})
-    return df.select("doc_id", "h", "size", "source", "source_size", "target", "taken", *at)
+    return df.select("doc_id", "h", "size", "source", "source_size", "target", "taken", *["th"] * hashed, *at)
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", most: int = MOST, **how) -> DataFrame:
@@ -96,11 +97,13 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     A row whose last copy is taken in part has that copy if the part is half of it or more. Rows without words stay as they
     are, once. Rows are matched by id, source and size; rows that share all three share what is taken of them.
     """
-    taken = placed(docs, id_col, text_col, source_col, most=most, **how)
+    taken = placed(docs, id_col, text_col, source_col, most=most, hashed=True, **how)
     at = F.array(*[F.min(f"_p{j}") for j in range(most)]).alias("at")
-    per = taken.groupBy("doc_id", "source", "size").agg(F.sum("taken").alias("taken"), F.count("*").alias("rows"), at)
-    rows = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_id"), F.col(source_col).alias("_source"), word_count(F.col(text_col)).alias("_size"))
-    both = rows.join(per, F.col("_id").eqNullSafe(F.col("doc_id")) & F.col("_source").eqNullSafe(F.col("source")) & (F.col("_size") == F.col("size")))
+    # the text's hash tells the size, which isn't counted again
+    per = taken.groupBy("doc_id", "source", "size").agg(F.sum("taken").alias("taken"), F.count("*").alias("rows"), at, F.collect_set("th").alias("_ths"))
+    per = per.select("doc_id", "source", "size", "taken", "rows", "at", F.explode("_ths").alias("th"))
+    rows = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_id"), F.col(source_col).alias("_source"), F.xxhash64(text_col).alias("_th"))
+    both = rows.join(per, F.col("_id").eqNullSafe(F.col("doc_id")) & F.col("_source").eqNullSafe(F.col("source")) & (F.col("_th") == F.col("th")))
     copies = F.when(F.col("size") == 0, 1).otherwise(F.floor(F.col("taken") / F.col("rows") / F.col("size") + 0.5)).cast("int")
     again = both.select("_row", F.explode(F.slice("at", F.lit(1), copies)).alias("position"))
     return again.orderBy("position", F.xxhash64("_row")).select("_row.*")
