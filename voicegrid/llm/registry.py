@@ -1,10 +1,11 @@
 """Queries of the operators, and SQL where it can express them."""
 
-from voicegrid.llm import language, line_dedup, mixing, near_duplicates, neighbours, pieces, pii, quality_classifier, quality_rules, warc
+from voicegrid.llm import language, line_dedup, mixing, near_duplicates, neighbours, pieces, pii, quality_classifier, quality_rules, repeats, warc
 
 QUERIES = {
     "op1_language": language.op1,
     "op10_pii": pii.op10,
+    "op11_runs": repeats.op11,
     "op2_quality_rules": quality_rules.op2,
     "op3_warc": warc.op3,
     "op4_quality_classifier": quality_classifier.op4,
