@@ -23,11 +23,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from voicegrid.llm.common import WORD, table
+from voicegrid.llm.common import WORD, shielded, table
 from voicegrid.llm.pieces import blocks
 
 LEAST = 12
@@ -228,20 +228,22 @@ def runs(docs: DataFrame, text_col: str = "text", least: int = LEAST) -> DataFra
     return rows.mapInArrow(run, schema).select("_row.*", *_OWN)
 
 
-def planted(text: Column, doc_id: Column) -> Column:
-    """The text; for one id of ten by CRC-32, with its words from some place on repeating with a period of their number's choice."""
-    h = F.crc32(doc_id.cast("string"))
-    g, words = F.floor(h / 10), F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1))
-    n = F.greatest(F.size(words), F.lit(1)).cast("bigint")
-    a = g % n
-    p = 1 + F.floor((n - a) / (3 + g % 8))
-    repeated = F.transform(words, lambda w, i: F.when(i < a, w).otherwise(F.get(words, (a + (i - a) % p).cast("int"))))
-    return F.when(h % 10 == 0, F.array_join(repeated, " ")).otherwise(text)
+def planted(docs: DataFrame) -> DataFrame:
+    """doc_id and text; for one id of ten by CRC-32, the text's words repeat from some place on with some period, both by the hash.
+
+    The words are made once a row, as a column: a lambda that held their expression would split the text for each word.
+    """
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)))
+    rows = shielded(F.struct("doc_id", "text"), {"w": words, "g": F.floor(h / 10)}, docs).withColumn("n", F.greatest(F.size("w"), F.lit(1)).cast("bigint"))
+    rows = shielded(F.struct("doc_id", "text", "w", "n"), {"a": F.col("g") % F.col("n"), "g": F.col("g")}, rows)
+    rows = shielded(F.struct("doc_id", "text", "w", "a"), {"p": 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))}, rows)
+    repeated = F.transform("w", lambda w, i: F.when(i < F.col("a"), w).otherwise(F.get("w", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int"))))
+    return rows.select("doc_id", F.when(F.col("w").isNotNull(), F.array_join(repeated, " ")).otherwise(F.col("text")).alias("text"))
 
 
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    rows = runs(docs.select("doc_id", planted(F.col("text"), F.col("doc_id")).alias("text")))
+    rows = runs(planted(table(spark, sf_dir, "documents")))
     best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
     lines = F.array_join(F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))), "")
     return rows.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), best.alias("_b"), F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256")).select(
