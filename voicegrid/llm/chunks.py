@@ -1,9 +1,10 @@
 """Byte-level BPE by the tokenizers library, each distinct chunk of a block of texts encoded once.
 
-The vocabulary's pattern never matches a character that isn't white space together with white space after it, so that a text falls
-into chunks (white space and what follows up to the next) whose encodings side by side are the text's own. That holds where
-Python and the library agree on white space: texts with any but spaces, tabs and line ends, and such as hold an added token's
-string, are encoded whole.
+The vocabulary's pattern never matches a character that isn't white space together with white space after it, nor letters
+together with an ASCII character after them that is none, so that a text falls into chunks whose encodings side by side are the text's
+own: a space with letters up to such a character, or white space with all else up to the next. That holds where Python and
+the library agree on white space: texts with any but spaces, tabs and line ends, and such as hold an added token's string, are
+encoded whole.
 """
 
 import os
@@ -14,9 +15,9 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks share their executor's cores already
 
-CHUNK = re.compile(r"\s*\S+|\s+")
+CHUNK = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+(?![^\s!-@\[-`{-~])|\s*\S+|\s+")
 RARE = re.compile(r"[^\S \t\r\n]")
-CACHE = 200_000
+CACHE, LONG = 600_000, 64
 
 
 def letters() -> dict[str, int]:
@@ -25,6 +26,26 @@ def letters() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(own))}
 
 
+class Encodings(dict):
+    """Encodings of chunks, as bytes of little-endian 32-bit integers, made when asked for. Those in use lately are kept, long ones aren't."""
+
+    def __init__(self, lib):
+        self.lib, self.older = lib, {}
+        super().__init__()
+
+    def __missing__(self, chunk: str) -> bytes:
+        made = self.older.get(chunk)
+        if made is None:
+            ids = self.lib.encode(chunk, add_special_tokens=False).ids
+            made = struct.pack(f"<{len(ids)}I", *ids)
+        if len(chunk) <= LONG:
+            if len(self) >= CACHE:
+                self.older = dict(self)
+                self.clear()
+            self[chunk] = made
+        return made
+
+
 class ByteVocabulary:
     """A tokenizers file; `plain` makes strings of special tokens ordinary text."""
 
@@ -42,26 +63,12 @@ class ByteVocabulary:
         for piece, i in self.lib.get_vocab(with_added_tokens=True).items():
             self.text[i] = added[i].encode() if i in added else bytes(byte[c] for c in piece)
         self.sizes = np.array([len(x) for x in self.text], np.int64)
-        self.cache: dict[str, bytes] = {}
-
-    def packed(self, texts: list[str]) -> list[bytes]:
-        """The library's encodings, as bytes of 32-bit integers."""
-        return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
+        self.known = Encodings(self.lib)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as bytes of little-endian 32-bit integers."""
-        split = [[t] if self.whole.search(t) else CHUNK.findall(t) for t in texts]
-        need = list(set().union(*split) - self.cache.keys())
-        if len(self.cache) + len(need) > CACHE:
-            self.cache.clear()
-            need = list(set().union(*split))
-        own = dict(zip(need, self.packed(need), strict=True))
-        self.cache |= own
-        out = [b"".join(map(self.cache.__getitem__, s)) for s in split]
-        for t in need:  # whole texts don't come again often enough to be kept
-            if len(t) > 200:
-                del self.cache[t]
-        return out
+        one = self.known.__getitem__
+        return [one(t) if self.whole.search(t) else b"".join(map(one, CHUNK.findall(t))) for t in texts]
 
 
 _known: dict[tuple[bytes, bool], ByteVocabulary] = {}
