@@ -32,6 +32,19 @@ def _broken(props: F.Column, i: F.Column) -> F.Column:
     return F.when(i % 3 == 0, F.concat(F.lit("```json\n"), props, F.lit("\n```"))).when(i % 3 == 1, F.regexp_replace(props, "\\}$", ", }")).otherwise(F.concat(F.lit("Sure: "), props, F.lit(" done")))
 
 
+def _cut(props: F.Column, i: F.Column) -> F.Column:
+    """Props within a longer answer that ends too soon, or has comments, bare keys, single quotes or brackets closed in the wrong order."""
+    note, k = F.concat(F.lit('"note": "so, {so}'), i, F.lit(",] ")), F.concat(F.lit('{"event": '), i, F.lit(', "in": {"props": '), props)
+    return (
+        F.when(i % 6 == 0, F.concat(F.lit("Here [you] are:\n```json\n"), k, F.lit(", "), note))
+        .when(i % 6 == 1, F.concat(k, F.lit('}, "rest": [1, {"half": 12')))
+        .when(i % 6 == 2, F.concat(F.lit("{'event': "), i, F.lit(", in: {props: "), props, F.lit(", /* more */ 'note': 'it\\'s \"so\",]'}}")))
+        .when(i % 6 == 3, F.regexp_replace(F.concat(k, F.lit("}}")), r"\d+\}+$", ""))
+        .when(i % 6 == 4, F.concat(F.lit("["), k, F.lit(",,"), note, F.lit('" ] }, {"event": -1}]')))
+        .otherwise(F.concat(k, F.lit("}}")))
+    )
+
+
 def _admitted(s, d):
     return schedule.admitted(_calls(s, d), "ts", "key_id", "event_id", "hour", 2).select("event_id", "key_id", "admitted")
 
@@ -78,6 +91,7 @@ QUERIES = {
     "q28_least_used": lambda s, d: schedule.least_used(_calls(s, d).withColumn("one", F.lit(1)), "key_id", "one"),
     "q29_json_field": lambda s, d: table(s, d, "events").select("event_id", jsonfix.parse(F.col("props"), "k bigint")["k"].alias("k")),
     "q30_json_repair": lambda s, d: table(s, d, "events").select("event_id", jsonfix.parse(_broken(F.col("props"), F.col("event_id")), "k bigint")["k"].alias("k")),
+    "q30b_json_cut": lambda s, d: table(s, d, "events").select("event_id", jsonfix.parse(_cut(F.col("props"), F.col("event_id")), "event bigint, in struct<props: struct<k: bigint>, note: string>").alias("p")).select("event_id", F.col("p.event").alias("event"), F.col("p.in.props.k").alias("k"), F.col("p.in.note").alias("note")),
     "q31_ratio": lambda s, d: profile.ratio(table(s, d, "documents").select("doc_id"), grid.fan_out(table(s, d, "documents").select("doc_id"))),
     "q33_jsonl": _round_trip,
     "q34_domain_check": lambda s, d: clean.domain_check(table(s, d, "documents").select("doc_id", F.when(F.col("doc_id") % 3 == 0, " Happy").when(F.col("doc_id") % 3 == 1, "SAD ").otherwise("odd").alias("emotion"), F.lit("Cat").alias("post_type"), F.col("text").alias("transformed_content")))[0].select("doc_id", "emotion"),
@@ -139,6 +153,8 @@ SQL = {
     "q28_least_used": "SELECT user_id % 9 AS key_id, count(*) AS used FROM events GROUP BY 1 ORDER BY 2, 1 LIMIT 1",
     "q29_json_field": "SELECT event_id, (props ->> 'k')::BIGINT AS k FROM events",
     "q30_json_repair": "SELECT event_id, (props ->> 'k')::BIGINT AS k FROM events",
+    "q30b_json_cut": """SELECT event_id, event_id AS event, CASE WHEN event_id % 6 <> 3 THEN (props ->> 'k')::BIGINT END AS k,
+        CASE event_id % 6 WHEN 2 THEN 'it''s "so",]' WHEN 4 THEN 'so, {so}' || event_id || ',] ' END AS note FROM events""",
     "q31_ratio": "SELECT count(*) AS originals, 12 * count(*) AS augmented, round(12.0, 1) AS ratio FROM documents",
     "q32_hangul_emoji": f"SELECT doc_id, post_type, emotion, length(regexp_replace(t, '[^\\x{{1F300}}-\\x{{1FAFF}}\\x{{2600}}-\\x{{27BF}}]', '', 'g')) AS emojis, round(length(regexp_replace(t, '[^가-힣]', '', 'g')) / length(t), 6) AS hangul FROM (SELECT *, transformed_content AS t FROM ({_TRANSFORM}))",
 }
