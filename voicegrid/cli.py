@@ -71,7 +71,7 @@ def run_merge(spark, a) -> None:
 
 
 def run_unify(spark, a) -> None:
-    files.unify(spark, a.input_file, a.output_file, ORIGINALS if a.originals else AUGMENTED)
+    print(f"objects that don't parse: {files.unify(spark, a.input_file, a.output_file, ORIGINALS if a.originals else AUGMENTED)}")
 
 
 def run_filter(spark, a) -> None:

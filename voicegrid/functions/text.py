@@ -1,6 +1,6 @@
 """Text functions on columns.
 
-Nulls stay null in all of them. Length is in code points.
+Nulls stay null in all of them. Length is in code points, but for `visible_length`.
 """
 
 from pyspark.sql import Column
@@ -29,6 +29,56 @@ def strip(x: Column, controls: str = CONTROLS, spaces: str = SPACES) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(x, controls, ""), spaces, " "))
 
 
+# The first syllable and the first jamo of Unicode's Hangul arithmetic, and how many vowels and tails there are.
+SYLLABLE, LEAD, VOWEL, TAIL_JAMO = 0xAC00, 0x1100, 0x1161, 0x11A7
+VOWELS, TAILS = 21, 28
+_LEADS, _VOWELS, _TAILS = "[\u1100-\u1112]", "[\u1161-\u1175]", "[\u11a8-\u11c2]"
+
+
+def character(code: Column) -> Column:
+    """The character of a code point below 65,536."""
+    return F.decode(F.unhex(F.lpad(F.hex(code.cast("long")), 4, "0")), "UTF-16BE")
+
+
+def compose(x: Column) -> Column:
+    """Decomposed Hangul as syllables: lead and vowel, with a tail if one follows, and a syllable without a tail with the one that follows.
+
+    The text falls into such sequences and all between them, so that each is looked at by itself. Texts without jamo stay as they are.
+    """
+
+    def one(s: Column) -> Column:
+        first, last = F.ascii(s), F.ascii(F.right(s, F.lit(1)))
+        block = SYLLABLE + ((first - LEAD) * VOWELS + F.ascii(F.substring(s, 2, 1)) - VOWEL) * TAILS
+        of_jamo = F.when(F.length(s) == 3, block + last - TAIL_JAMO).otherwise(block)
+        open_block = (first - SYLLABLE) % TAILS == 0
+        return F.when(s.rlike(f"^{_LEADS}{_VOWELS}"), character(of_jamo)).when(s.rlike(f"^[가-힣]{_TAILS}$") & open_block, character(first + last - TAIL_JAMO)).otherwise(s)
+
+    parts = F.regexp_extract_all(x, F.lit(f"(?s)({_LEADS}{_VOWELS}{_TAILS}?|[가-힣]{_TAILS}|[^\u1100-\u1112가-힣]+|.)"), F.lit(1))
+    return F.when(x.rlike(f"{_LEADS}{_VOWELS}|[가-힣]{_TAILS}"), F.array_join(F.transform(parts, one), "")).otherwise(x)
+
+
+def decompose(x: Column) -> Column:
+    """Hangul syllables as jamo, the opposite of `compose`."""
+
+    def one(s: Column) -> Column:
+        n = F.ascii(s) - SYLLABLE
+        tail = n % TAILS
+        pair = F.concat(character(LEAD + F.floor(n / (VOWELS * TAILS))), character(VOWEL + F.floor(n / TAILS) % VOWELS))
+        return F.when(s.rlike("^[가-힣]"), F.when(tail == 0, pair).otherwise(F.concat(pair, character(TAIL_JAMO + tail)))).otherwise(s)
+
+    parts = F.regexp_extract_all(x, F.lit("(?s)([가-힣]|[^가-힣]+)"), F.lit(1))
+    return F.when(x.rlike("[가-힣]"), F.array_join(F.transform(parts, one), "")).otherwise(x)
+
+
+def visible_length(x: Column) -> Column:
+    """Characters as one sees them: extended grapheme clusters, so that joined emoji, flags, variation selectors and decomposed syllables count once.
+
+    ASCII without carriage returns has one character a code point; other texts go through Java's cluster automaton.
+    """
+    plain = F.octet_length(x) == F.length(x)
+    return F.when(plain & ~F.contains(x, F.lit("\r")), F.length(x)).otherwise(F.regexp_count(x, F.lit(r"\X"))).cast("bigint")
+
+
 def html_to_text(x: Column) -> Column:
     """Visible text of HTML: scripts, styles and tags go, common entities are decoded."""
     x = F.regexp_replace(x, "(?is)<(script|style)[^>]*>.*?</(script|style)>", " ")

@@ -10,7 +10,8 @@ from voicegrid.schemas import EMOTIONS, POST_TYPES
 
 
 def cleaned(df: DataFrame, col: str = "content", **how) -> DataFrame:
-    return df.withColumn(col, X.strip(F.col(col), **how))
+    """Texts stripped, and decomposed Hangul composed, so that length and endings are found whatever keyboard they came from."""
+    return df.withColumn(col, X.compose(X.strip(F.col(col), **how)))
 
 
 def quality(df: DataFrame, col: str = "content", least: int = 5, most: int = 500, symbols: float | None = None, hangul: float | None = None) -> DataFrame:

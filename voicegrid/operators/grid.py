@@ -16,10 +16,13 @@ def fan_out(df: DataFrame, cells: Column | None = None) -> DataFrame:
     return df.select(*df.columns, F.explode(rules.cells() if cells is None else cells).alias("_c")).select(*df.columns, "_c.*")
 
 
-def topics_by_emotion(spark: SparkSession, topics: list[str] | None = None) -> DataFrame:
-    """Every topic in every emotion; one prompt key for a generated original each."""
-    topics = topics or rules.TOPICS
-    return spark.range(1).select(F.explode(F.array(*map(F.lit, topics))).alias("topic")).select("topic", F.explode(F.array(*map(F.lit, EMOTIONS))).alias("emotion"))
+def topics_by_emotion(spark: SparkSession, topics: list[str] | DataFrame | None = None) -> DataFrame:
+    """Every topic in every emotion; one prompt key for a generated original each. Topics: a list, or the first column of a table, each value once."""
+    if isinstance(topics, DataFrame):
+        rows = topics.select(F.col(topics.columns[0]).alias("topic")).distinct()
+    else:
+        rows = spark.range(1).select(F.explode(F.array(*map(F.lit, topics or rules.TOPICS))).alias("topic"))
+    return rows.select("topic", F.explode(F.array(*map(F.lit, EMOTIONS))).alias("emotion"))
 
 
 def n_emotions(df: DataFrame, key: str, n: int = 2) -> DataFrame:

@@ -3,12 +3,16 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from voicegrid.functions import text as X
 
-def counts(df: DataFrame, by: list[str], length_of: str | None = None) -> DataFrame:
-    """Rows and, if asked, mean length by group."""
+
+def counts(df: DataFrame, by: list[str], length_of: str | None = None, visible: bool = False) -> DataFrame:
+    """Rows and, if asked, mean length by group, in code points and, if asked, in visible characters."""
     aggs = [F.count("*").alias("n")]
     if length_of:
         aggs.append(F.round(F.avg(F.length(length_of)), 1).alias("mean_chars"))
+        if visible:
+            aggs.append(F.round(F.avg(X.visible_length(F.col(length_of))), 1).alias("mean_visible"))
     return df.groupBy(*by).agg(*aggs)
 
 

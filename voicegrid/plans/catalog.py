@@ -4,7 +4,6 @@ The driver's tables stand in for posts: `documents` for originals with (source,
 `conversations` for short posts, `events` for API calls with user_id % 9 as key.
 """
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +13,8 @@ from voicegrid import rules
 from voicegrid.functions import jsonfix
 from voicegrid.functions import text as X
 from voicegrid.operators import clean, generate, grid, profile, schedule
-from voicegrid.sources import files
+from voicegrid.schemas import AUGMENTED
+from voicegrid.sources import files, json_arrays
 
 LANGS = ["de", "en", "es", "fr"]
 
@@ -51,14 +51,32 @@ def _admitted(s, d):
 
 def _round_trip(s, d):
     """Originals written as JSONL to the shared folder and read back."""
-    to = f"{s.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp()}/jsonl-{uuid.uuid4()}"
+    to = f"{files.shared_dir(s)}/jsonl-{uuid.uuid4()}"
     files.write_jsonl(table(s, d, "documents").select(F.col("text").alias("content")), to)
     return files.split_corrupt(files.read_originals(s, to))[0]
 
 
+def _augmented(s, d):
+    """Posts in all voices written as JSONL and read back by the schema of augmented records."""
+    to = f"{files.shared_dir(s)}/jsonl-{uuid.uuid4()}"
+    rows = generate.transform(table(s, d, "conversations").select(F.concat_ws("|", "conv_id", "turn").alias("id"), F.col("text").alias("content")), "id")
+    files.write_jsonl(rows.select(*AUGMENTED.names), to)
+    return files.split_corrupt(files.read_augmented(s, to))[0]
+
+
+def _array(s, d):
+    """Documents written as JSON arrays and read by ranges of bytes."""
+    to = f"{files.shared_dir(s)}/array-{uuid.uuid4()}"
+    docs = table(s, d, "documents").select("doc_id", "text", F.struct("lang", "source").alias("of"))
+    json_arrays.write_arrays(docs, to)
+    return json_arrays.read_array(s, to, docs.schema).select("doc_id", "text", "of.lang", "of.source")
+
+
 QUERIES = {
     "q01_counts": lambda s, d: profile.counts(table(s, d, "documents"), ["lang"], "text"),
     "q02_mean_length": lambda s, d: profile.counts(table(s, d, "documents"), [], "text"),
+    "q01b_counts_by_file": lambda s, d: profile.counts_by_file(table(s, d, "documents"), "text"),
+    "q02b_visible_length": lambda s, d: profile.counts(generate.transform(table(s, d, "documents").select("doc_id", F.col("text").alias("content")), "doc_id"), ["post_type", "emotion"], "transformed_content", visible=True),
     "q03_shares": lambda s, d: profile.shares(table(s, d, "documents"), ["source"]),
     "q04_two_keys": lambda s, d: profile.counts(table(s, d, "documents"), ["source", "lang"]),
     "q05_pivot": lambda s, d: profile.cross_table(table(s, d, "documents"), "source", "lang", LANGS),
@@ -79,7 +97,7 @@ QUERIES = {
     "q17_two_emotions": lambda s, d: grid.n_emotions(table(s, d, "documents").select("doc_id"), "doc_id", 2),
     "q18_balanced_quota": lambda s, d: grid.balanced(table(s, d, "documents").select("doc_id", "lang"), ["lang"], "doc_id", 50),
     "q19_target_count": lambda s, d: grid.target_count(table(s, d, "documents").select("doc_id"), "doc_id", 100),
-    "q20_topics": lambda s, d: grid.topics_by_emotion(s),
+    "q20_topics": lambda s, d: grid.topics_by_emotion(s, table(s, d, "documents").select("source")),
     "q21_pick_ending": lambda s, d: table(s, d, "documents").select("doc_id", X.pick(F.array(*map(F.lit, rules.ENDINGS["cat"])), F.col("doc_id").cast("string")).alias("ending")),
     "q22_ending": lambda s, d: table(s, d, "conversations").select("conv_id", "turn", X.with_ending(F.col("text"), F.lit("냥"), rules.POLITE).alias("spoken")),
     "q23_transform": lambda s, d: generate.transform(table(s, d, "documents").select("doc_id", F.col("text").alias("content")), "doc_id"),
@@ -94,6 +112,9 @@ QUERIES = {
     "q30b_json_cut": lambda s, d: table(s, d, "events").select("event_id", jsonfix.parse(_cut(F.col("props"), F.col("event_id")), "event bigint, in struct<props: struct<k: bigint>, note: string>").alias("p")).select("event_id", F.col("p.event").alias("event"), F.col("p.in.props.k").alias("k"), F.col("p.in.note").alias("note")),
     "q31_ratio": lambda s, d: profile.ratio(table(s, d, "documents").select("doc_id"), grid.fan_out(table(s, d, "documents").select("doc_id"))),
     "q33_jsonl": _round_trip,
+    "q33b_augmented": _augmented,
+    "q35_json_array": _array,
+    "q36_compose": lambda s, d: generate.transform(table(s, d, "conversations").select("conv_id", "turn", F.concat_ws("|", "conv_id", "turn").alias("id"), F.col("text").alias("content")), "id").select("conv_id", "turn", "post_type", "emotion", X.compose(X.decompose(F.col("transformed_content"))).alias("spoken"), F.length(X.decompose(F.col("transformed_content"))).alias("jamo_chars")),
     "q34_domain_check": lambda s, d: clean.domain_check(table(s, d, "documents").select("doc_id", F.when(F.col("doc_id") % 3 == 0, " Happy").when(F.col("doc_id") % 3 == 1, "SAD ").otherwise("odd").alias("emotion"), F.lit("Cat").alias("post_type"), F.col("text").alias("transformed_content")))[0].select("doc_id", "emotion"),
     "q32_hangul_emoji": lambda s, d: generate.voice_profile(table(s, d, "documents").select("doc_id", F.col("text").alias("content")), "doc_id"),
 }
@@ -109,6 +130,7 @@ _SPOKEN = "regexp_replace(regexp_replace({0}, '[.!?]+$', ''), '" + rules.POLITE
 _PICK = "list_extract({0}, CASE WHEN len({0}) > 0 THEN (" + _H.format("{1}") + " % len({0}) + 1) END)"
 _SEED = "concat_ws('|', doc_id::VARCHAR, post_type, emotion)"
 _TRANSFORM = f"""SELECT doc_id, text AS content, post_type, emotion, CASE WHEN text IS NOT NULL THEN concat_ws(' ', {_SPOKEN.format('text', _PICK.format(_ENDINGS, _SEED))}, {_PICK.format(_EMOJIS, _SEED)}) END AS transformed_content FROM documents, {_CELLS}"""
+_SPEAK = _TRANSFORM.replace("SELECT doc_id, text AS content", "SELECT conv_id, turn, text AS content").replace("FROM documents", "FROM conversations").replace("doc_id::VARCHAR", "concat_ws('|', conv_id, turn)")
 _HTML = r"regexp_replace(regexp_replace(html, '(?is)<(script|style)[^>]*>.*?</(script|style)>', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g')"
 for _a, _b in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&amp;", "&")):
     _HTML = f"replace({_HTML}, '{_a}', '{_b}')"
@@ -119,6 +141,8 @@ for _name, _value in {"post_type": "post_type", "emotion": "emotion", "tone": "t
 SQL = {
     "q01_counts": "SELECT lang, count(*) AS n, round(avg(length(text)), 1) AS mean_chars FROM documents GROUP BY lang",
     "q02_mean_length": "SELECT count(*) AS n, round(avg(length(text)), 1) AS mean_chars FROM documents",
+    "q01b_counts_by_file": "SELECT 'documents.parquet' AS file, count(*) AS n, round(avg(length(text)), 1) AS mean_chars FROM documents",
+    "q02b_visible_length": f"SELECT post_type, emotion, count(*) AS n, round(avg(length(transformed_content)), 1) AS mean_chars, round(avg(length_grapheme(transformed_content)), 1) AS mean_visible FROM ({_TRANSFORM}) GROUP BY 1, 2",
     "q03_shares": "SELECT source, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 2) AS pct FROM documents GROUP BY source",
     "q04_two_keys": "SELECT source, lang, count(*) AS n FROM documents GROUP BY source, lang",
     "q05_pivot": "SELECT source, " + ", ".join(f"count(*) FILTER (lang = '{x}') AS {x}" for x in LANGS) + " FROM documents GROUP BY source",
@@ -132,6 +156,9 @@ SQL = {
     "q12_keep_first": "SELECT min(doc_id) AS doc_id, min(n_chars) AS n_chars FROM documents GROUP BY text",
     "q12b_newest": "SELECT doc_id, source, lang, n_chars FROM documents QUALIFY row_number() OVER (PARTITION BY source, lang ORDER BY doc_id DESC) = 1",
     "q33_jsonl": "SELECT text AS content FROM documents",
+    "q33b_augmented": f"SELECT content, emotion, post_type, transformed_content FROM ({_SPEAK})",
+    "q35_json_array": "SELECT doc_id, text, lang, source FROM documents",
+    "q36_compose": f"SELECT conv_id, turn, post_type, emotion, transformed_content AS spoken, length(transformed_content) + length(regexp_replace(transformed_content, '[^가-힣]', '', 'g')) + list_sum(list_transform(string_split(regexp_replace(transformed_content, '[^가-힣]', '', 'g'), ''), lambda c: CASE WHEN c <> '' AND (unicode(c) - 44032) % 28 > 0 THEN 1 ELSE 0 END))::INT AS jamo_chars FROM ({_SPEAK})",
     "q34_domain_check": "SELECT doc_id, trim(lower(CASE WHEN doc_id % 3 = 0 THEN ' Happy' WHEN doc_id % 3 = 1 THEN 'SAD ' ELSE 'odd' END), ' ') AS emotion FROM documents WHERE doc_id % 3 < 2 AND text IS NOT NULL",
     "q13_semi": "SELECT doc_id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)",
     "q14_anti": "SELECT doc_id, lang FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)",
@@ -141,7 +168,7 @@ SQL = {
     "q17_two_emotions": f"SELECT doc_id, emotion FROM documents, {_EMOTIONS} QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY {_H.format('doc_id::VARCHAR || chr(124) || emotion')}, emotion) <= 2",
     "q18_balanced_quota": f"SELECT doc_id, lang FROM documents QUALIFY row_number() OVER (PARTITION BY lang ORDER BY {_H.format('doc_id::VARCHAR')}, doc_id) <= 50",
     "q19_target_count": f"SELECT doc_id FROM documents ORDER BY {_H.format('doc_id::VARCHAR')}, doc_id LIMIT 100",
-    "q20_topics": f"SELECT topic, emotion FROM (SELECT unnest({_LIST(rules.TOPICS)}) AS topic), {_EMOTIONS}",
+    "q20_topics": f"SELECT topic, emotion FROM (SELECT DISTINCT source AS topic FROM documents), {_EMOTIONS}",
     "q21_pick_ending": f"SELECT doc_id, {_PICK.format(_LIST(rules.ENDINGS['cat']), 'doc_id::VARCHAR')} AS ending FROM documents",
     "q22_ending": f"SELECT conv_id, turn, {_SPOKEN.format('text', chr(39) + '냥' + chr(39))} AS spoken FROM conversations",
     "q23_transform": _TRANSFORM,
