@@ -1,4 +1,5 @@
 import json
+import time
 
 from pyspark.sql import functions as F
 
@@ -66,6 +67,77 @@ def test_originals_from_a_model(spark, tmp_path):
     assert len(rows) == 20 and all(r.startswith(("a wrote: Write one", "b wrote: Write one")) for r in rows)
 
 
+def test_posts_from_a_model_and_its_failures(spark, tmp_path):
+    (tmp_path / "in.jsonl").write_text('{"content": "오늘 날씨가 좋네요"}\n{"content": "배고파요 정말로"}\n', encoding="utf-8")
+    lexicon = {"sounds": {"cat": ["야옹"]}, "expressions": {"dog/sad": ["힝"]}}
+    (tmp_path / "lexicons.json").write_text(json.dumps(lexicon))
+    flags = ["transform", "--input_file", str(tmp_path / "in.jsonl"), "--lexicons", str(tmp_path / "lexicons.json"), "--per_minute", "0"]
+    cli.main([*flags, "--output_file", str(tmp_path / "out"), "--model", "tests.fake_model:speak"], spark)
+    rows = spark.read.json(str(tmp_path / "out")).collect()
+    assert len(rows) == 20 and all(r.transformed_content == f"{r.post_type} {r.emotion}" for r in rows)
+    assert spark.read.parquet(str(tmp_path / "out_failed")).count() == 4
+    cli.main([*flags, "--output_file", str(tmp_path / "plain")], spark)
+    said = {(r.post_type, r.emotion): r.transformed_content for r in spark.read.json(str(tmp_path / "plain")).collect()}
+    assert " 야옹 🐾" in said["cat", "normal"] and said["dog", "sad"].endswith(" 힝 😢") and "야옹" not in said["dog", "happy"]
+
+
+def test_a_run_that_broke_off_goes_on(spark, tmp_path):
+    log, at = str(tmp_path / "calls"), str(tmp_path / "ledger")
+    requests = spark.range(40).select(F.concat(F.lit("p"), "id").alias("prompt"), F.sha2(F.col("id").cast("string"), 256).alias("request_id"))
+    requests = requests.unionAll(requests.limit(5))
+    runs = []
+
+    def model(prompt):
+        with open(log, "a") as f:
+            f.write(prompt + "\n")
+        if prompt == "p7" and len(runs) < 5:
+            raise ValueError("not yet")
+        return prompt.upper()
+
+    def call(df):
+        runs.append(1)
+        if len(runs) == 4:
+            raise KeyboardInterrupt
+        return generate.call_model(df, model, keys=2, attempts=1)
+
+    try:
+        generate.resumed(requests, at, call, 8)
+        raise AssertionError
+    except KeyboardInterrupt:
+        pass
+    first = open(log).read().split()
+    assert 0 < len(first) < 40
+    (tmp_path / "ledger" / "broken").mkdir()  # what a batch that broke off leaves
+    runs += [1] * 5
+    rows = generate.resumed(requests, at, call, 8).collect()
+    calls = open(log).read().split()
+    assert sorted(r.raw for r in rows) == sorted(f"P{i}" for i in range(40))
+    assert sorted(set(calls)) == sorted(f"p{i}" for i in range(40)) and len(calls) == 40 + ("p7" in first)
+    assert generate.resumed(requests, at, call, 8).count() == 40 and open(log).read().split() == calls
+
+
+def test_shares_are_seen_while_a_job_runs(spark):
+    said = []
+    with progress.watched(spark, said.append, 0.05) as seen:
+        spark.range(0, 40, 1, 40).rdd.map(lambda x: time.sleep(0.2)).count()
+    assert any(0 < done < total for done, total in seen) and len(said) == len(seen) and said[0].startswith("[")
+    assert spark.sparkContext.getLocalProperty("spark.jobGroup.id") is None
+
+
+def test_batches_of_a_stream_are_seen(spark):
+    listener = progress.Batches(lambda x: None)
+    spark.streams.addListener(listener)
+    try:
+        spark.readStream.schema("event_id long").parquet("/root/testdata/sf0.001/events.parquet*").writeStream.format("memory").queryName("seen").trigger(availableNow=True).start().awaitTermination(60)
+        for _ in range(50):
+            if listener.seen:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    assert listener.seen and listener.seen[0][1] == spark.read.parquet("/root/testdata/sf0.001/events.parquet").count()
+
+
 def test_bars_beyond_the_limit_are_summed(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(charts, "MOST_BARS", 2)
     df = spark.createDataFrame([("a",), ("b",), ("c",), ("d",), ("d",)], "emotion string")

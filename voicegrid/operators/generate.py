@@ -5,11 +5,12 @@ natural style need a model. `call_model` is the seam for one.
 """
 
 import time
+import uuid
 from collections import deque
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voicegrid import rules
@@ -18,6 +19,10 @@ from voicegrid.functions import text as X
 from voicegrid.operators import grid
 
 
+#: Columns of a cell that results don't keep.
+CELL = ("tone", "endings", "emojis", "sounds", "expressions")
+
+
 def parted(posts: DataFrame, content: str = "content", polite: str = rules.POLITE) -> DataFrame:
     """The posts with `_s`, what all rewritings of a post share: its stem and its last punctuation mark."""
     stem, mark = X.stem_and_mark(F.col(content), polite)
@@ -25,20 +30,25 @@ def parted(posts: DataFrame, content: str = "content", polite: str = rules.POLIT
 
 
 def suffixed(df: DataFrame, key: str) -> DataFrame:
-    """Rows of a fan-out with `_x`: what follows the stem in each cell, as a struct of ending and emoji (null if the cell has none)."""
+    """Rows of a fan-out with `_x`: what follows the stem in each cell, as a struct of ending, expression, sound and emoji (null if the cell has none)."""
     seed = F.concat_ws("|", F.col(key).cast("string"), "post_type", "emotion")
-    return df.withColumn("_x", F.struct(X.pick(F.col("endings"), seed).alias("ending"), X.pick(F.col("emojis"), seed).alias("emoji")))
+    more = {n: X.pick(F.col(f"{n}s"), F.concat_ws("|", seed, F.lit(n))).alias(n) for n in ("expression", "sound") if f"{n}s" in df.columns}
+    return df.withColumn("_x", F.struct(X.pick(F.col("endings"), seed).alias("ending"), *more.values(), X.pick(F.col("emojis"), seed).alias("emoji")))
 
 
 def rule_transform(df: DataFrame, key: str, content: str = "content") -> DataFrame:
-    """Rows of a fan-out of parted posts with `transformed_content`: an ending, the last punctuation mark, and the cell's emoji if it has any. Null texts stay null."""
+    """Rows of a fan-out of parted posts with `transformed_content`: an ending, the last punctuation mark, and the cell's expression, sound and emoji if it has any. Null texts stay null."""
     spoken = F.concat("_s.stem", "_x.ending", "_s.mark")
-    return suffixed(df, key).withColumn("transformed_content", F.when(F.col(content).isNotNull(), F.concat_ws(" ", spoken, "_x.emoji"))).drop("_s", "_x")
+    more = [f"_x.{n}" for n in ("expression", "sound") if f"{n}s" in df.columns]
+    return suffixed(df, key).withColumn("transformed_content", F.when(F.col(content).isNotNull(), F.concat_ws(" ", spoken, *more, "_x.emoji"))).drop("_s", "_x")
 
 
-def transform(posts: DataFrame, key: str, content: str = "content") -> DataFrame:
-    """Every post in all twelve voices: the flagship plan. One stage, no shuffle; a post is taken apart once, before the fan-out."""
-    return rule_transform(grid.fan_out(parted(posts, content)), key, content).drop("tone", "endings", "emojis")
+def transform(posts: DataFrame, key: str, content: str = "content", **lexicons) -> DataFrame:
+    """Every post in all twelve voices: the flagship plan. One stage, no shuffle; a post is taken apart once, before the fan-out.
+
+    `sounds` and `expressions` are lexicons as `rules.cells` takes them.
+    """
+    return rule_transform(grid.fan_out(parted(posts, content), rules.cells(**lexicons)), key, content).drop(*CELL)
 
 
 def voice_profile(posts: DataFrame, key: str, content: str = "content") -> DataFrame:
@@ -85,20 +95,18 @@ def call_model(df: DataFrame, model: Callable[..., str], keys: int | list[str] =
 
     mapInPandas runs once for each row, where a plain UDF may be evaluated twice. Each API key has one partition of its own, dealt by
     the hash of the request, so that its allowance of `per_minute` calls in `seconds` is kept within one task. With a list of keys the model
-    gets (prompt, key); keys are part of the task's closure and never become columns. Spark hands rows over in batches of
-    `batch_rows` (its own setting by default).
+    gets (prompt, key); keys are part of the task's closure and never become columns. Rows are handed on in batches of
+    `batch_rows` (Spark's own by default).
 
     Write the result before using it twice; a retried task repeats its calls, and `request_id` tells the repeats. An exception
     is tried again, which counts against the allowance, then kept in `error` with a null `raw`.
     """
     secrets = keys if isinstance(keys, list) else None
     n = len(secrets) if secrets else keys
-    if batch_rows:
-        df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch_rows)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         allowances: dict[int, Allowance] = {}
-        for pdf in batches:
+        for pdf in (x.iloc[i : i + (batch_rows or len(x))] for x in batches for i in range(0, len(x), batch_rows or len(x))):
             raws, errors = [], []
             for prompt, key in zip(pdf["prompt"], pdf["key_id"], strict=True):
                 raw = error = None
@@ -119,6 +127,42 @@ def call_model(df: DataFrame, model: Callable[..., str], keys: int | list[str] =
     return rows.mapInPandas(run, schema)
 
 
+def finished(spark: SparkSession, at: str) -> DataFrame | None:
+    """The ledger: rows of all committed batches under `at`; None if there are none. Folders of batches that broke off don't count."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(at)
+    store = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not store.exists(path):
+        return None
+    names = [x.getPath().toString() for x in store.listStatus(path)]
+    good = [x for x in names if store.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{x}/_SUCCESS"))]
+    return spark.read.parquet(*good) if good else None
+
+
+def resumed(requests: DataFrame, at: str, call: Callable[[DataFrame], DataFrame], batches: int = 16, pause: float = 0) -> DataFrame:
+    """Rows of `call` for each request_id, one each; a rerun calls only for those that the ledger under `at` doesn't have yet.
+
+    Requests are dealt to `batches` by a hash of their ids, and each batch is committed by itself, so that what breaks off loses one batch at
+    most. Calls that failed (null `raw`) are made again by the next run. More requests than before may come; requests that repeat are
+    called once. `pause` seconds pass between two batches, so that allowances, which begin anew with each, hold over their border.
+    """
+    spark = requests.sparkSession
+    done, called = finished(spark, at), False
+    part = F.pmod(F.xxhash64("request_id", F.lit("batch")), F.lit(batches))
+    for k in range(batches):
+        todo = requests.filter(part == k).dropDuplicates(["request_id"])
+        if done is not None:
+            todo = todo.join(done.filter("raw is not null").select("request_id").distinct(), "request_id", "left_anti")
+        if todo.isEmpty():
+            continue
+        if called:
+            time.sleep(pause)
+        called = True
+        call(todo.select(*requests.columns)).write.parquet(f"{at}/{uuid.uuid4()}")
+    rows = finished(spark, at)
+    row = F.struct(*rows.columns)
+    return rows.groupBy("request_id").agg(F.max_by(row, F.struct(F.col("raw").isNotNull(), F.xxhash64(row))).alias("_r")).select("_r.*")
+
+
 def with_topic_prompt(df: DataFrame, template: str = rules.TOPIC_PROMPT) -> DataFrame:
     """The prompt for an original about each row's topic in its emotion; `_i` tells repeats apart."""
     out = F.lit(template)

@@ -97,12 +97,14 @@ QUERIES = {
     "q17_two_emotions": lambda s, d: grid.n_emotions(table(s, d, "documents").select("doc_id"), "doc_id", 2),
     "q18_balanced_quota": lambda s, d: grid.balanced(table(s, d, "documents").select("doc_id", "lang"), ["lang"], "doc_id", 50),
     "q19_target_count": lambda s, d: grid.target_count(table(s, d, "documents").select("doc_id"), "doc_id", 100),
+    "q19b_large_target": lambda s, d: grid.target_count(generate.transform(table(s, d, "conversations").select(F.concat_ws("|", "conv_id", "turn").alias("id"), F.col("text").alias("content")), "id").withColumn("_k", F.concat_ws("|", "id", "post_type", "emotion")), "_k", 2000, small=1000).select("id", "post_type", "emotion"),
     "q20_topics": lambda s, d: grid.topics_by_emotion(s, table(s, d, "documents").select("source")),
     "q21_pick_ending": lambda s, d: table(s, d, "documents").select("doc_id", X.pick(F.array(*map(F.lit, rules.ENDINGS["cat"])), F.col("doc_id").cast("string")).alias("ending")),
     "q22_ending": lambda s, d: table(s, d, "conversations").select("conv_id", "turn", X.with_ending(F.col("text"), F.lit("냥"), rules.POLITE).alias("spoken")),
     "q23_transform": lambda s, d: generate.transform(table(s, d, "documents").select("doc_id", F.col("text").alias("content")), "doc_id"),
     "q23b_prompt": lambda s, d: generate.with_prompt(grid.fan_out(table(s, d, "conversations").select("conv_id", "turn", F.col("text").alias("content")))).select("conv_id", "turn", "post_type", "emotion", "prompt"),
     "q24_round_robin": lambda s, d: schedule.round_robin(table(s, d, "events").select("event_id", "ts"), "ts", "event_id").select("event_id", "pos", "key_id", "minute"),
+    "q24b_start_times": lambda s, d: schedule.start_times(table(s, d, "events").select("event_id", "ts"), "ts", "event_id", 9, 2, 43200, 16).select("event_id", "key_id", F.col("starts").cast("timestamp_ntz").alias("starts")),
     "q25_usage": lambda s, d: schedule.usage(_calls(s, d), F.col("ts").cast("timestamp"), "key_id", "1 hour"),
     "q26_rolling_usage": lambda s, d: schedule.rolling_usage(_calls(s, d).select("event_id", "ts", "key_id"), "ts", "key_id", 3600).select("event_id", "n_recent"),
     "q27_admitted": _admitted,
@@ -168,12 +170,16 @@ SQL = {
     "q17_two_emotions": f"SELECT doc_id, emotion FROM documents, {_EMOTIONS} QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY {_H.format('doc_id::VARCHAR || chr(124) || emotion')}, emotion) <= 2",
     "q18_balanced_quota": f"SELECT doc_id, lang FROM documents QUALIFY row_number() OVER (PARTITION BY lang ORDER BY {_H.format('doc_id::VARCHAR')}, doc_id) <= 50",
     "q19_target_count": f"SELECT doc_id FROM documents ORDER BY {_H.format('doc_id::VARCHAR')}, doc_id LIMIT 100",
+    "q19b_large_target": f"SELECT id, post_type, emotion FROM (SELECT concat_ws('|', conv_id, turn) AS id, post_type, emotion FROM conversations, {_CELLS}) ORDER BY {_H.format("concat_ws('|', id, post_type, emotion)")}, concat_ws('|', id, post_type, emotion) LIMIT 2000",
     "q20_topics": f"SELECT topic, emotion FROM (SELECT DISTINCT source AS topic FROM documents), {_EMOTIONS}",
     "q21_pick_ending": f"SELECT doc_id, {_PICK.format(_LIST(rules.ENDINGS['cat']), 'doc_id::VARCHAR')} AS ending FROM documents",
     "q22_ending": f"SELECT conv_id, turn, {_SPOKEN.format('text', chr(39) + '냥' + chr(39))} AS spoken FROM conversations",
     "q23_transform": _TRANSFORM,
     "q23b_prompt": f"SELECT conv_id, turn, post_type, emotion, {_PROMPT} AS prompt FROM conversations, {_CELLS}",
     "q24_round_robin": "SELECT event_id, pos, pos % 9 AS key_id, pos // 135 AS minute FROM (SELECT event_id, row_number() OVER (ORDER BY ts, event_id) - 1 AS pos FROM events)",
+    "q24b_start_times": """WITH RECURSIVE e AS (SELECT event_id, ts, pos, pos % 18 AS lane, pos // 18 AS j FROM (SELECT event_id, ts, row_number() OVER (ORDER BY ts, event_id) - 1 AS pos FROM events)),
+        r AS (SELECT event_id, pos, lane, j, ts AS starts FROM e WHERE j = 0 UNION ALL SELECT e.event_id, e.pos, e.lane, e.j, greatest(e.ts, r.starts + INTERVAL 43200 SECOND) FROM r JOIN e ON e.lane = r.lane AND e.j = r.j + 1)
+        SELECT event_id, pos % 9 AS key_id, starts FROM r""",
     "q25_usage": "SELECT date_trunc('hour', ts) AS window_start, user_id % 9 AS key_id, count(*) AS n_calls FROM events GROUP BY 1, 2",
     "q26_rolling_usage": "SELECT event_id, count(*) OVER (PARTITION BY user_id % 9 ORDER BY ts RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW) AS n_recent FROM events",
     "q27_admitted": "SELECT event_id, user_id % 9 AS key_id, row_number() OVER (PARTITION BY user_id % 9, date_trunc('hour', ts) ORDER BY ts, event_id) <= 2 AS admitted FROM events",

@@ -46,8 +46,11 @@ TOPIC_PROMPT = "Write one short social media post about {topic} in a {emotion} m
 PROMPT = "Rewrite the post as a {post_type} in a {emotion} mood ({tone}). Endings: {endings}. Emojis: {emojis}. Post: {content}"
 
 
-def cells(rows: dict | None = None) -> Column:
-    """The grid as a literal array of structs. Exploding it fans a post out without any join."""
+def cells(rows: dict | None = None, sounds: dict[str, list[str]] | None = None, expressions: dict[tuple[str, str], list[str]] | None = None) -> Column:
+    """The grid as a literal array of structs. Exploding it fans a post out without any join.
+
+    `sounds` are onomatopoeia by animal, `expressions` phrases by animal and emotion; no lists of them are published, so there are none by default.
+    """
     tones = rows or TONES
     return F.array(
         *[
@@ -57,6 +60,8 @@ def cells(rows: dict | None = None) -> Column:
                 F.lit(tone).alias("tone"),
                 F.array(*map(F.lit, ENDINGS[p])).alias("endings"),
                 F.array(*map(F.lit, EMOJIS[e])).cast("array<string>").alias("emojis"),
+                F.array(*map(F.lit, (sounds or {}).get(p, []))).cast("array<string>").alias("sounds"),
+                F.array(*map(F.lit, (expressions or {}).get((p, e), []))).cast("array<string>").alias("expressions"),
             )
             for (p, e), tone in sorted(tones.items())
         ]
