@@ -11,10 +11,13 @@ Counts of id pairs over the corpus are summed in each task before the shuffle, s
 meet the links again by a join: a broadcast if there are at most SMALL pairs (counted first), else a shuffle by pair of the links as summed by
 document, whose hot keys Spark splits.
 
-The tokenised rows are saved once, under numbers of their own, so that rows that repeat, also with the same id, stay apart. Null and empty
+Python tokenises chunks, cut before spaces that follow anything else, once each while they are remembered; no token of either goes over such a cut.
+
+The aligned rows are saved once, with a number a link, under numbers of their own, so that rows that repeat, also with the same id, stay apart. Null and empty
 texts, and those whose tokens don't spell a space and the text, have no tokens: numbers are 0, the groups are empty. No rows in, no rows out.
 """
 
+import re
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -24,40 +27,69 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType
 
-from voicegrid.llm.chunks import byte_vocabulary
+from voicegrid.llm.chunks import CACHE, LONG, ByteVocabulary, byte_vocabulary
 from voicegrid.llm.common import saved, shielded, table
-from voicegrid.llm.pieces import MODEL, blocks, vocabulary
+from voicegrid.llm.pieces import MARK, MODEL, WHOLE, Vocabulary, blocks, vocabulary
 from voicegrid.llm.token_files import VOCABULARY
 
 SMALL = 1_000_000
 SIDE = 1 << 31
+SPACED = re.compile(r"(?<=\S)(?= )")
 _OWN = ("a_ids", "a_ends", "b_ids", "b_ends")
 
 
+class Chunks(dict):
+    """Ids of both tokenizers for a space and what follows up to the next one, as bytes of 32-bit integers; None if they don't spell it."""
+
+    def __init__(self, left: ByteVocabulary, right: Vocabulary):
+        self.left, self.right = left, right
+        #: A cut before each space that follows anything else is one for both tokenizers.
+        self.cut = right.plain and right.word.pattern != WHOLE
+        super().__init__()
+
+    def __missing__(self, chunk: str) -> tuple[bytes, bytes] | None:
+        # a space alone, at the end of a text, is a piece there, where the empty text has none
+        (a,), b = self.left.encode([chunk]), self.right.packed[MARK] if chunk == " " else np.array(self.right.lib.encode(chunk[1:]), "<u4").tobytes()
+        want = chunk.encode()
+        spelt = want == b"".join(map(self.left.text.__getitem__, memoryview(a).cast("I"))) == b"".join(map(self.right.text.__getitem__, memoryview(b).cast("I")))
+        out = (a, b) if spelt else None
+        if len(chunk) <= LONG:
+            if len(self) >= CACHE:
+                self.clear()
+            self[chunk] = out
+        return out
+
+    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of a space and the text; None if they don't spell it or it is empty."""
+        spaced = " " + text
+        parts = SPACED.split(spaced) if self.cut and not self.left.whole.search(text) else [spaced]
+        found = list(map(self.__getitem__, parts)) if text else [None]
+        if None in found:
+            return None
+        return tuple(np.frombuffer(b"".join([x[k] for x in found]), "<u4").astype(np.int64) for k in (0, 1))
+
+
 def tokenised(docs: DataFrame, a: str = VOCABULARY, b: str = MODEL, text_col: str = "text") -> DataFrame:
     """The rows with the ids and byte ends of both tokenizers' tokens instead of the text; empty arrays where there are none."""
     context = docs.sparkSession.sparkContext
     both = context.broadcast((Path(a).read_bytes(), Path(b).read_bytes()))
     keep = [c for c in docs.columns if c not in (text_col, *_OWN)]
 
-    def lists(parts: list[np.ndarray], kind) -> pa.Array:
-        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(x) for x in parts])]), pa.int32()), pa.array(np.concatenate(parts), kind))
+    def lists(parts: list[np.ndarray]) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(x) for x in parts])]), pa.int32()), pa.array(np.concatenate(parts), pa.int32()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        left, right = byte_vocabulary(both.value[0], True), vocabulary(both.value[1])
-        sizes, none = np.array([len(x) for x in right.text], np.int64), np.empty(0, np.int64)
+        known = chunks_of(both.value)
+        sizes, none = [np.array([len(x) for x in v.text], np.int64) for v in (known.left, known.right)], np.empty(0, np.int64)
         for batch in batches:
             texts = [t or "" for t in batch.column("_text").to_pylist()]
             for part in blocks(texts):
-                own = [texts[i] for i in part]
                 columns: list[list[np.ndarray]] = [[], [], [], []]
-                for t, x, y in zip(own, left.encode([" " + t for t in own]), right.encode(own), strict=True):
-                    want, x = (" " + t).encode("utf-8", "surrogatepass"), np.frombuffer(x, "<u4").astype(np.int64)
-                    spelt = t and b"".join(map(left.text.__getitem__, x.tolist())) == want == b"".join(map(right.text.__getitem__, y.tolist()))
-                    made = (x, np.cumsum(left.sizes[x]), y, np.cumsum(sizes[y])) if spelt else (none,) * 4
-                    for c, m in zip(columns, made, strict=True):
+                for i in part:
+                    x, y = known.encode(texts[i]) or (none, none)
+                    for c, m in zip(columns, (x, np.cumsum(sizes[0][x]), y, np.cumsum(sizes[1][y])), strict=True):
                         c.append(m)
-                yield pa.record_batch([batch.column("_row").take(pa.array(part)), *[lists(c, pa.int32()) for c in columns]], names=["_row", *_OWN])
+                yield pa.record_batch([batch.column("_row").take(pa.array(part)), *map(lists, columns)], names=["_row", *_OWN])
 
     rows = docs.select(F.struct(*keep).alias("_row"), F.col(text_col).alias("_text"))
     schema = rows.select("_row").schema
@@ -66,6 +98,16 @@ def tokenised(docs: DataFrame, a: str = VOCABULARY, b: str = MODEL, text_col: st
     return rows.mapInArrow(run, schema).select("_row.*", *_OWN)
 
 
+_known: dict[tuple[bytes, bytes], Chunks] = {}
+
+
+def chunks_of(models: tuple[bytes, bytes]) -> Chunks:
+    if models not in _known:
+        _known.clear()
+        _known[models] = Chunks(byte_vocabulary(models[0], True), vocabulary(models[1]))
+    return _known[models]
+
+
 def low(x: Column) -> Column:
     """The number in the lower 32 bits, without its last bit."""
     return F.shiftright(x.bitwiseAND(F.lit(0xFFFFFFFF)), 1).cast("int")
@@ -108,35 +150,39 @@ def grouped(rows: DataFrame) -> DataFrame:
     return out.withColumn("groups", text).drop("_cuts", "_a", "_b")
 
 
-def linked_ids(rows: DataFrame, *keep: str) -> DataFrame:
-    """The columns kept and a_id, b_id of each link of rows of `aligned`."""
-    each = rows.select(*keep, "a_ids", "b_ids", F.explode("links").alias("_l"))
-    return each.select(*keep, F.get("a_ids", F.shiftright("_l", 32).cast("int")).alias("a_id"), F.get("b_ids", low(F.col("_l"))).alias("b_id"))
+def with_pairs(rows: DataFrame, width: int) -> DataFrame:
+    """Rows of `aligned` with `pairs`, a number a link: A's id times `width`, more than any id of B, and B's id."""
+    a, b = (lambda x: F.get("a_ids", F.shiftright(x, 32).cast("int"))), (lambda x: F.get("b_ids", low(x)))
+    return rows.withColumn("pairs", F.transform("links", lambda x: a(x).cast("long") * width + b(x)))
 
 
-def pair_counts(rows: DataFrame) -> DataFrame:
-    """a_id, b_id, n (links of that pair in all rows of `aligned`) and best (whether no other A id has more with that B id)."""
-    n = linked_ids(rows).groupBy("a_id", "b_id").agg(F.count("*").alias("n"))
-    most = n.groupBy("b_id").agg(F.max("n").alias("_most"))
-    return n.join(most, "b_id").select("a_id", "b_id", "n", (F.col("n") == F.col("_most")).alias("best"))
+def pair_counts(rows: DataFrame, width: int) -> DataFrame:
+    """pair, n (links of that pair in all rows of `with_pairs`) and best (whether no other A id has more with that B id)."""
+    n = rows.select(F.explode("pairs").alias("pair")).groupBy("pair").agg(F.count("*").alias("n"))
+    most = n.groupBy((F.col("pair") % width).alias("b_id")).agg(F.max("n").alias("_most"))
+    return n.join(most, F.col("pair") % width == F.col("b_id")).select("pair", "n", (F.col("n") == F.col("_most")).alias("best"))
 
 
-def align(docs: DataFrame, a: str = VOCABULARY, b: str = MODEL, text_col: str = "text", small: int = SMALL) -> DataFrame:
-    """The rows with n_a, n_b, n_groups, groups, n_links, n_best and count_sum instead of the text."""
+def align(docs: DataFrame, a: str = VOCABULARY, b: str = MODEL, text_col: str = "text", small: int = SMALL, digest: bool = False) -> DataFrame:
+    """The rows with n_a, n_b, n_groups, groups, n_links, n_best and count_sum instead of the text. digest: the SHA-256 of the groups, which are
+    about as long as the text several times over ('' stays)."""
     own = ("n_a", "n_b", "n_groups", "groups", "n_links", "n_best", "count_sum")
-    keep = [c for c in docs.columns if c not in (text_col, *own)]
+    keep, width = [c for c in docs.columns if c not in (text_col, *own)], len(vocabulary(Path(b).read_bytes()).text)
     rows = tokenised(docs.select(F.monotonically_increasing_id().alias("_id"), F.struct(*keep).alias("_kept"), F.col(text_col).alias("_t")), a, b, "_t")
-    rows = saved(aligned(rows))
-    counts = saved(pair_counts(rows))
+    rows = with_pairs(grouped(aligned(rows)), width)
+    groups = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)) if digest else F.col("groups")
+    sizes = [F.size(x).cast("long").alias(n) for n, x in (("n_a", "a_ids"), ("n_b", "b_ids"), ("n_links", "links"))]
+    rows = saved(rows.select("_id", "_kept", *sizes, F.col("n_groups").cast("long").alias("n_groups"), groups.alias("groups"), "pairs"))
+    counts = saved(pair_counts(rows, width))
+    each = rows.select("_id", F.explode("pairs").alias("pair"))
     if counts.count() <= small:
-        per = linked_ids(rows, "_id").join(F.broadcast(counts), ["a_id", "b_id"]).withColumn("_x", F.lit(1).cast("long"))
+        per = each.join(F.broadcast(counts), "pair").withColumn("_x", F.lit(1).cast("long"))
     else:
-        per = linked_ids(rows, "_id").groupBy("_id", "a_id", "b_id").agg(F.count("*").alias("_x")).join(counts, ["a_id", "b_id"])
+        per = each.groupBy("_id", "pair").agg(F.count("*").alias("_x")).join(counts, "pair")
     per = per.groupBy("_id").agg(F.sum(F.when(F.col("best"), F.col("_x")).otherwise(0)).alias("n_best"), F.sum(F.col("n") * F.col("_x")).alias("count_sum"))
-    out = grouped(rows).select("_id", "_kept", F.size("a_ids").cast("long").alias("n_a"), F.size("b_ids").cast("long").alias("n_b"), F.col("n_groups").cast("long").alias("n_groups"), "groups", F.size("links").cast("long").alias("n_links"))
-    return out.join(per, "_id", "left").select("_kept.*", *own[:5], *[F.coalesce(c, F.lit(0)).cast(LongType()).alias(c) for c in own[5:]])
+    return rows.drop("pairs").join(per, "_id", "left").select("_kept.*", *own[:5], *[F.coalesce(c, F.lit(0)).cast(LongType()).alias(c) for c in own[5:]])
 
 
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = align(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return rows.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256"))
+    rows = align(table(spark, sf_dir, "documents").select("doc_id", "text"), digest=True)
+    return rows.withColumnRenamed("groups", "groups_sha256").select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")

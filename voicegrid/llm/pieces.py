@@ -38,6 +38,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 CACHE, BLOCK = 200_000, 1 << 20
 UNIGRAM, BPE = 1, 2
+WHOLE = r"(?s).+"
 UNKNOWN_PENALTY = 10.0
 
 
@@ -98,7 +99,7 @@ class Vocabulary:
         text = {i: sp.id_to_piece(i).replace(MARK, " ").encode() for i in usual}
         self.text = [bytes([int(sp.id_to_piece(i)[1:-1], 16)]) if sp.is_byte(i) else text.get(i, " ⁇ ".encode() if i == self.unknown else b"") for i in range(n)]
         cut = all(MARK not in p.lstrip(MARK) and ("\n" not in p or p == "\n") for p in self.id)
-        self.word = re.compile(rf"\n|{MARK}*[^{MARK}\n]+|{MARK}+" if cut else r"(?s).+")
+        self.word = re.compile(rf"\n|{MARK}*[^{MARK}\n]+|{MARK}+" if cut else WHOLE)
         self.halves: dict[str, tuple[str, str] | None] = {}
         self.agree: dict[str, dict[str, bool]] = defaultdict(dict)
         self.agreed = 0
