@@ -1,0 +1,45 @@
+import struct
+import zlib
+
+import numpy as np
+
+from voicegrid import cli
+from voicegrid.sources import png
+
+
+def decoded(data):
+    """Pixels of a PNG file, chunk by chunk."""
+    assert data[:8] == b"\x89PNG\r\n\x1a\n"
+    at, packed, size = 8, b"", None
+    while at < len(data):
+        n, kind = struct.unpack_from(">I4s", data, at)
+        body = data[at + 8 : at + 8 + n]
+        assert struct.unpack_from(">I", data, at + 8 + n)[0] == zlib.crc32(kind + body)
+        if kind == b"IHDR":
+            width, height, depth, colour, *rest = struct.unpack(">IIBBBBB", body)
+            assert (depth, colour, rest) == (8, 2, [0, 0, 0])
+            size = height, width
+        packed += body if kind == b"IDAT" else b""
+        at += 12 + n
+    rows = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(size[0], 1 + 3 * size[1])
+    assert kind == b"IEND" and not rows[:, 0].any()
+    return rows[:, 1:].reshape(*size, 3)
+
+
+def test_raster_comes_back():
+    r = png.Raster(40, 20)
+    r.box(3, 4, 10, 5, (1, 2, 3))
+    r.text(20, 5, "l7é", 1)
+    got = decoded(r.png())
+    assert (got == r.pixels).all() and (got[4:9, 3:13] == (1, 2, 3)).all() and (got[:4] == 255).all()
+    assert (got[5:10, 20] == 0).all() and (got[5, 24:27] == 0).all()
+
+
+def test_charts_by_their_names(spark, tmp_path):
+    rows = [("a", e, p, "b") for e, n in (("happy", 4), ("sad", 2)) for p in ("cat", "dog") for _ in range(n)]
+    spark.createDataFrame(rows, "content string, emotion string, post_type string, transformed_content string").write.json(str(tmp_path / "in"))
+    cli.main(["profile", "--input_file", str(tmp_path / "in"), "--output_prefix", str(tmp_path / "x")], spark)
+    for name, bars in (("post_type_distribution", 2), ("emotion_distribution", 2), ("post_type_emotion_distribution", 4), ("analysis", 1)):
+        blue = (decoded((tmp_path / f"x_{name}.png").read_bytes()) == (0x44, 0x77, 0xAA)).all(axis=2)
+        lengths = [int(blue[40 + 24 * i + 10].sum()) for i in range(bars)]
+        assert max(lengths) == 380 and (name != "emotion_distribution" or lengths == [380, 190])

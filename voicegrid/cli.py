@@ -88,7 +88,7 @@ def run_generate(spark, a) -> None:
 
 def run_profile(spark, a) -> None:
     rows = quarantined(files.read_augmented(spark, a.input_file), a.output_prefix)
-    print(*charts.write_charts(rows, a.output_prefix, "content").values(), sep="\n")
+    print(*charts.write_charts(rows, a.output_prefix, "content", a.charts).values(), sep="\n")
 
 
 def run_merge(spark, a) -> None:
@@ -112,7 +112,7 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> No
     for name, run, flags in (
         ("transform", run_transform, {"--input_file": {"required": True}, "--output_file": {"required": True}, "--target_count": {"type": int, "default": 0}, "--n_emotions": {"type": int, "default": 6}, "--lexicons": {}, "--model": {}, "--env": {}, "--per_minute": {"type": int, "default": 15}, "--batches": {"type": int, "default": 1}}),
         ("generate", run_generate, {"--output_file": {"required": True}, "--count": {"type": int, "required": True}, "--topics": {}, "--model": {}, "--env": {}, "--per_minute": {"type": int, "default": 15}, "--batches": {"type": int, "default": 1}}),
-        ("profile", run_profile, {"--input_file": {"required": True}, "--output_prefix": {"required": True}}),
+        ("profile", run_profile, {"--input_file": {"required": True}, "--output_prefix": {"required": True}, "--charts": {"choices": ["png", "svg"], "default": "png"}}),
         ("merge", run_merge, {"--input_file": {"nargs": "+", "required": True}, "--output_file": {"required": True}, "--dedup": {"action": "store_true"}}),
         ("unify", run_unify, {"--input_file": {"required": True}, "--output_file": {"required": True}, "--originals": {"action": "store_true"}}),
         ("filter", run_filter, {"--input_file": {"required": True}, "--output_file": {"required": True}, "--min_len": {"type": int, "default": 5}, "--max_len": {"type": int, "default": 500}, "--html": {"action": "store_true"}}),

@@ -1,4 +1,4 @@
-"""Bar charts of small aggregates as SVG files, named by a prefix."""
+"""Bar charts of small aggregates as PNG or SVG files, named by a prefix."""
 
 from pathlib import Path
 from xml.sax.saxutils import escape
@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voicegrid.operators import profile
+from voicegrid.sources import png
 
 MOST_BARS = 1000
 
@@ -18,8 +19,8 @@ def bars(rows: list[tuple[str, float]], title: str) -> str:
     return f'<svg xmlns="http://www.w3.org/2000/svg" width="640" height="{50 + h * len(rows)}"><text x="5" y="22" font-size="16">{escape(title)}</text>{body}</svg>'
 
 
-def write_charts(df: DataFrame, prefix: str, length_of: str | None = None) -> dict[str, str]:
-    """Charts by post type, by emotion and by both, and of lengths if asked. Only aggregates reach the driver, the MOST_BARS first
+def write_charts(df: DataFrame, prefix: str, length_of: str | None = None, kind: str = "svg") -> dict[str, str]:
+    """Charts by post type, by emotion and by both, and of lengths if asked, as `svg` or `png`. Only aggregates reach the driver, the MOST_BARS first
     bars of a chart and one for the sum of all others."""
     out = {}
     for name, by in (("post_type_distribution", ["post_type"]), ("emotion_distribution", ["emotion"]), ("post_type_emotion_distribution", ["post_type", "emotion"])):
@@ -29,9 +30,13 @@ def write_charts(df: DataFrame, prefix: str, length_of: str | None = None) -> di
         out["analysis"] = profile.length_histogram(df, length_of, 10).orderBy("chars_from").select(F.col("chars_from").cast("string").alias("k"), "n")
     paths = {}
     for name, table in out.items():
-        paths[name] = f"{prefix}_{name}.svg"
+        paths[name] = f"{prefix}_{name}.{kind}"
         rows = [(r["k"], r["n"]) for r in table.limit(MOST_BARS).collect()]
         others = table.agg(F.sum("n")).first()[0] if len(rows) == MOST_BARS else 0
         others = (others or 0) - sum(n for _, n in rows) if others else 0
-        Path(paths[name]).write_text(bars([*rows, *[("all others", others)] * bool(others)], name), encoding="utf-8")
+        rows += [("all others", others)] * bool(others)
+        if kind == "png":
+            png.write_bars(rows, name, paths[name])
+        else:
+            Path(paths[name]).write_text(bars(rows, name), encoding="utf-8")
     return paths
