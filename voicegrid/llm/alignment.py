@@ -27,12 +27,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType
 
-from voicegrid.llm.chunks import CACHE, LONG, ByteVocabulary, byte_vocabulary
+from voicegrid.llm.chunks import LONG, ByteVocabulary, byte_vocabulary
 from voicegrid.llm.common import saved, shielded, table
 from voicegrid.llm.pieces import MARK, MODEL, WHOLE, Vocabulary, blocks, vocabulary
 from voicegrid.llm.token_files import VOCABULARY
 
-SMALL = 1_000_000
+SMALL, CACHE = 1_000_000, 120_000
 SIDE = 1 << 31
 SPACED = re.compile(r"(?<=\S)(?= )")
 _OWN = ("a_ids", "a_ends", "b_ids", "b_ends")
@@ -49,7 +49,8 @@ class Chunks(dict):
 
     def __missing__(self, chunk: str) -> tuple[bytes, bytes] | None:
         # a space alone, at the end of a text, is a piece there, where the empty text has none
-        (a,), b = self.left.encode([chunk]), self.right.packed[MARK] if chunk == " " else np.array(self.right.lib.encode(chunk[1:]), "<u4").tobytes()
+        a = np.array(self.left.lib.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+        b = self.right.packed[MARK] if chunk == " " else np.array(self.right.lib.encode(chunk[1:]), "<u4").tobytes()
         want = chunk.encode()
         spelt = want == b"".join(map(self.left.text.__getitem__, memoryview(a).cast("I"))) == b"".join(map(self.right.text.__getitem__, memoryview(b).cast("I")))
         out = (a, b) if spelt else None
@@ -135,19 +136,23 @@ def aligned(rows: DataFrame) -> DataFrame:
 
 def grouped(rows: DataFrame) -> DataFrame:
     """Rows of `aligned` with n_groups and `groups`: a text such as `a1,a2|b1;a3|b2,b3`, the ids of each group in order."""
-    n = F.size(F.array_intersect("a_ends", "b_ends"))
-    cut = F.filter("links", lambda x: x.bitwiseAND(1) == 1)
-    made = {"n_groups": n, "_cuts": cut, "_a": F.col("a_ids").cast("array<string>"), "_b": F.col("b_ids").cast("array<string>")}
+    cuts = F.filter("links", lambda x: x.bitwiseAND(1) == 1)
+    rows = shielded(F.struct(*rows.columns), {"_cuts": cuts}, rows)
+    before = F.array(F.lit(-1))  # the last token before the first group
+    made = {
+        "n_groups": F.size(F.array_intersect("a_ends", "b_ends")), "_a": F.col("a_ids").cast("array<string>"), "_b": F.col("b_ids").cast("array<string>"),
+        "_to_a": F.concat(before, F.transform("_cuts", lambda x: F.shiftright(x, 32).cast("int"))), "_to_b": F.concat(before, F.transform("_cuts", low)),
+    }
     out = shielded(F.struct(*rows.columns), made, rows)
 
-    def part(ids: str, number) -> Column:
-        return lambda k: F.array_join(F.slice(ids, F.when(k == 1, 1).otherwise(number(F.get("_cuts", k - 2)) + 2), number(F.get("_cuts", k - 1)) - F.when(k == 1, -1).otherwise(number(F.get("_cuts", k - 2)))), ",")
+    def part(ids: str, to: str, k: Column) -> Column:
+        """The ids of group k, from the token after the group before to its own last one."""
+        last, own = F.get(to, k - 1), F.get(to, k)
+        return F.when(own - last == 1, F.get(ids, own)).otherwise(F.array_join(F.slice(ids, last + 2, own - last), ","))
 
-    of_a = part("_a", lambda c: F.shiftright(c, 32).cast("int"))
-    of_b = part("_b", low)
     numbers = F.when(F.col("n_groups") > 0, F.sequence(F.lit(1), F.col("n_groups"))).otherwise(F.array().cast("array<int>"))
-    text = F.array_join(F.transform(numbers, lambda k: F.concat(of_a(k), F.lit("|"), of_b(k))), ";")
-    return out.withColumn("groups", text).drop("_cuts", "_a", "_b")
+    text = F.array_join(F.transform(numbers, lambda k: F.concat(part("_a", "_to_a", k), F.lit("|"), part("_b", "_to_b", k))), ";")
+    return out.withColumn("groups", text).drop("_cuts", "_a", "_b", "_to_a", "_to_b")
 
 
 def with_pairs(rows: DataFrame, width: int) -> DataFrame:
