@@ -49,7 +49,7 @@ class Chunks(dict):
 
     def __missing__(self, chunk: str) -> tuple[bytes, bytes] | None:
         # a space alone, at the end of a text, is a piece there, where the empty text has none
-        a = np.array(self.left.lib.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+        (a,) = self.left.packed([chunk])
         b = self.right.packed[MARK] if chunk == " " else np.array(self.right.lib.encode(chunk[1:]), "<u4").tobytes()
         want = chunk.encode()
         spelt = want == b"".join(map(self.left.text.__getitem__, memoryview(a).cast("I"))) == b"".join(map(self.right.text.__getitem__, memoryview(b).cast("I")))
@@ -63,7 +63,7 @@ class Chunks(dict):
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids of a space and the text; None if they don't spell it or it is empty."""
         spaced = " " + text
-        parts = SPACED.split(spaced) if self.cut and not self.left.whole.search(text) else [spaced]
+        parts = SPACED.split(spaced) if self.cut and not self.left.whole(text) else [spaced]
         found = list(map(self.__getitem__, parts)) if text else [None]
         if None in found:
             return None

@@ -16,7 +16,8 @@ import numpy as np
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks share their executor's cores already
 
 CHUNK = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+(?![^\s!-@\[-`{-~])|\s*\S+|\s+")
-RARE = re.compile(r"[^\S \t\r\n]")
+#: White space but for spaces, tabs and line ends.
+RARE = "".join(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \t\r\n")
 CACHE, LONG = 600_000, 64
 
 
@@ -26,26 +27,6 @@ def letters() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(own))}
 
 
-class Encodings(dict):
-    """Encodings of chunks, as bytes of little-endian 32-bit integers, made when asked for. Those in use lately are kept, long ones aren't."""
-
-    def __init__(self, lib):
-        self.lib, self.older = lib, {}
-        super().__init__()
-
-    def __missing__(self, chunk: str) -> bytes:
-        made = self.older.get(chunk)
-        if made is None:
-            ids = self.lib.encode(chunk, add_special_tokens=False).ids
-            made = struct.pack(f"<{len(ids)}I", *ids)
-        if len(chunk) <= LONG:
-            if len(self) >= CACHE:
-                self.older = dict(self)
-                self.clear()
-            self[chunk] = made
-        return made
-
-
 class ByteVocabulary:
     """A tokenizers file; `plain` makes strings of special tokens ordinary text."""
 
@@ -55,20 +36,40 @@ class ByteVocabulary:
         self.lib = Tokenizer.from_buffer(data)
         self.lib.encode_special_tokens = plain
         added = {i: t.content for i, t in self.lib.get_added_tokens_decoder().items()}
-        inside = [re.escape(x) for x in added.values()]
-        self.whole = re.compile("|".join([RARE.pattern, *inside]))
+        self.odd = [*RARE, *added.values()]
         byte = letters()
         #: The bytes of each id.
         self.text = [b""] * self.lib.get_vocab_size(with_added_tokens=True)
         for piece, i in self.lib.get_vocab(with_added_tokens=True).items():
             self.text[i] = added[i].encode() if i in added else bytes(byte[c] for c in piece)
         self.sizes = np.array([len(x) for x in self.text], np.int64)
-        self.known = Encodings(self.lib)
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def whole(self, text: str) -> bool:
+        """Whether the text mustn't be cut."""
+        return any(x in text for x in self.odd)
+
+    def packed(self, texts: list[str]) -> list[bytes]:
+        """The library's encodings, as bytes of little-endian 32-bit integers."""
+        return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, as bytes of little-endian 32-bit integers."""
-        one = self.known.__getitem__
-        return [one(t) if self.whole.search(t) else b"".join(map(one, CHUNK.findall(t))) for t in texts]
+        """Ids of each text, as bytes of little-endian 32-bit integers. Chunks in use lately are kept, long ones aren't."""
+        if len(self.known) > CACHE:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        split = [[t] if self.whole(t) else CHUNK.findall(t) for t in texts]
+        new = dict.fromkeys(c for s in split for c in s if c not in known)
+        for c in new.keys() & older.keys():
+            known[c] = older[c]
+            del new[c]
+        known.update(zip(new, self.packed(list(new)), strict=True))
+        out = [b"".join(map(known.__getitem__, s)) for s in split]
+        for c in new:
+            if len(c) > LONG:
+                del known[c]
+        return out
 
 
 _known: dict[tuple[bytes, bool], ByteVocabulary] = {}

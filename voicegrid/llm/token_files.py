@@ -5,7 +5,7 @@ their parts hold all documents in ascending order, null ids last. Ids that repea
 also splits a crowd of equal rows over several ranges. The texts are shuffled once.
 
 A file is a run of blocks of BLOCK ids, the last one shorter: the least id, the width, the number of exceptions and of ids; the
-low `width` bits of what is above the least id, packed; places of the exceptions and their high bits. The width is that of
+low `width` bits of what is above the least id, packed bit by bit (the lowest of all ids first); places of the exceptions and their high bits. The width is that of
 the id at PERCENTILE of the block, what is longer becomes an exception. The footer has the start of each block, the number of blocks and of
 ids, and a magic number, so that any ids are read without the blocks before them.
 
@@ -42,20 +42,21 @@ def pack(ids: np.ndarray, percentile: float = PERCENTILE) -> bytes:
     low = int(ids.min())
     above = ids.astype(np.uint32) - np.uint32(low)
     width = int(np.percentile(above, percentile, method="inverted_cdf")).bit_length()
-    bits = (above[:, None] >> np.arange(width, dtype=np.uint32)).astype(np.uint8) & 1
+    least = above.astype(np.uint16) if width <= 16 else above
+    planes = b"".join(np.packbits((least >> k & 1).astype(bool), bitorder="little").tobytes() for k in range(width))
     places = np.flatnonzero(above >> np.uint32(width)) if width < 32 else np.empty(0, np.int64)
     high = above[places] >> np.uint32(width) if width < 32 else above[places]
-    return HEAD.pack(low, width, len(places), len(ids)) + np.packbits(bits.ravel(), bitorder="little").tobytes() + places.astype("<u2").tobytes() + high.astype("<u4").tobytes()
+    return HEAD.pack(low, width, len(places), len(ids)) + planes + places.astype("<u2").tobytes() + high.astype("<u4").tobytes()
 
 
 def unpack(data: memoryview | bytes) -> np.ndarray:
     """The ids of a block."""
     low, width, exceptions, n = HEAD.unpack_from(data)
-    at, size = HEAD.size, (n * width + 7) // 8
-    bits = np.unpackbits(np.frombuffer(data, np.uint8, size, at), count=n * width, bitorder="little").reshape(n, width)
-    above = np.zeros(n, np.uint32)
+    at, one = HEAD.size, (n + 7) // 8
+    size, above = one * width, np.zeros(n, np.uint16 if width <= 16 else np.uint32)
     for k in range(width):
-        above |= bits[:, k].astype(np.uint32) << np.uint32(k)
+        above |= np.unpackbits(np.frombuffer(data, np.uint8, one, at + k * one), count=n, bitorder="little").astype(above.dtype) << above.dtype.type(k)
+    above = above.astype(np.uint32)
     at += size
     places = np.frombuffer(data, "<u2", exceptions, at)
     above[places] |= np.frombuffer(data, "<u4", exceptions, at + 2 * exceptions) << np.uint32(width) if exceptions else np.empty(0, np.uint32)
