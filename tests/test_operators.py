@@ -147,7 +147,7 @@ def test_cli(spark, tmp_path):
     run("merge", "--input_file", tmp_path / "aug", tmp_path / "two", "--output_file", tmp_path / "both")
     assert files.read_augmented(spark, str(tmp_path / "both")).count() == 220
     run("profile", "--input_file", tmp_path / "both", "--output_prefix", tmp_path / "chart")
-    assert len(list(tmp_path.glob("chart_*.svg"))) == 4
+    assert len(list(tmp_path.glob("chart_*.png"))) == 4
     (tmp_path / "crawl.txt").write_text("좋은 아침이에요\n좋은  아침이에요\n짧\n", encoding="utf-8")
     run("filter", "--input_file", tmp_path / "crawl.txt", "--output_file", tmp_path / "kept")
     assert files.read_originals(spark, str(tmp_path / "kept")).count() == 1
