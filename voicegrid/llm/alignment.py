@@ -32,7 +32,7 @@ from voicegrid.llm.common import saved, shielded, table
 from voicegrid.llm.pieces import MARK, MODEL, WHOLE, Vocabulary, blocks, vocabulary
 from voicegrid.llm.token_files import VOCABULARY
 
-SMALL, CACHE = 1_000_000, 120_000
+SMALL, CACHE = 1_000_000, 200_000
 SIDE = 1 << 31
 SPACED = re.compile(r"(?<=\S)(?= )")
 _OWN = ("a_ids", "a_ends", "b_ids", "b_ends")
@@ -42,23 +42,27 @@ class Chunks(dict):
     """Ids of both tokenizers for a space and what follows up to the next one, as bytes of 32-bit integers; None if they don't spell it."""
 
     def __init__(self, left: ByteVocabulary, right: Vocabulary):
-        self.left, self.right = left, right
+        self.left, self.right, self.older = left, right, {}
         #: A cut before each space that follows anything else is one for both tokenizers.
         self.cut = right.plain and right.word.pattern != WHOLE
         super().__init__()
 
     def __missing__(self, chunk: str) -> tuple[bytes, bytes] | None:
+        out = self.older[chunk] if chunk in self.older else self.made(chunk)
+        if len(chunk) <= LONG:
+            if len(self) >= CACHE:  # what was in use lately stays for a while
+                self.older = dict(self)
+                self.clear()
+            self[chunk] = out
+        return out
+
+    def made(self, chunk: str) -> tuple[bytes, bytes] | None:
         # a space alone, at the end of a text, is a piece there, where the empty text has none
         (a,) = self.left.packed([chunk])
         b = self.right.packed[MARK] if chunk == " " else np.array(self.right.lib.encode(chunk[1:]), "<u4").tobytes()
         want = chunk.encode()
         spelt = want == b"".join(map(self.left.text.__getitem__, memoryview(a).cast("I"))) == b"".join(map(self.right.text.__getitem__, memoryview(b).cast("I")))
-        out = (a, b) if spelt else None
-        if len(chunk) <= LONG:
-            if len(self) >= CACHE:
-                self.clear()
-            self[chunk] = out
-        return out
+        return (a, b) if spelt else None
 
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids of a space and the text; None if they don't spell it or it is empty."""
