@@ -65,13 +65,25 @@ def lasting(spark: SparkSession, *make: Callable[..., DataFrame], skip: int = 0)
         _WITHIN.reset(token)
     for at, df in within:
         if not any(df is out for out in made[skip:]):
-            path = spark._jvm.org.apache.hadoop.fs.Path(at)
-            path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+            _delete(spark, at)
         elif outer is not None:
             outer.append((at, df))
     return made[skip:]
 
 
+def forget(df: DataFrame) -> None:
+    """Deletes a table saved within lasting() before its end. Nothing may depend on it any more; elsewhere it stays."""
+    for at, known in list(_WITHIN.get() or []):
+        if known is df:
+            _WITHIN.get().remove((at, known))
+            _delete(df.sparkSession, at)
+
+
+def _delete(spark: SparkSession, at: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(at)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def shielded(row: Column, values: dict[str, Column], df: DataFrame) -> DataFrame:
     """The fields of the struct `row` and the values. A generator in between keeps later filters from repeating their expressions."""
     made = F.explode_outer(F.array(F.struct(*[v.alias(k) for k, v in values.items()])))
