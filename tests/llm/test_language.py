@@ -1,3 +1,4 @@
+import hashlib
 import zlib
 from collections import Counter
 
@@ -68,3 +69,31 @@ def test_odd_rows(spark):
     assert got[1] == got[2] == got[3] == ("und", 0.0) and got[4][0] == "en" and got[None][0] == got[5][0] == "de"
     assert {r.lang_pred for r in lg.predict(df, lg.learn(df.filter("doc_id > 99"), F.lit(True))).collect()} == {"und"}
     assert lg.predict(df.filter("doc_id > 99"), {}).count() == 0
+
+
+def test_the_whole_query_equals_a_plain_one(spark, monkeypatch):
+    """Learning from the first documents of each language, ranks and distances, with dictionaries instead of arrays."""
+    monkeypatch.setattr(lg, "SAMPLE", 15)
+    small, mask = SF.replace("0.01", "0.001"), (1 << 64) - 1
+    docs = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
+    fold = {i: zlib.crc32(str(i).encode()) % 3 for i, _, _ in docs}
+    counts, codes = {i: plain(t or "") for i, t, _ in docs}, {}
+    for gram in {g for c in counts.values() for g in c}:
+        h = 0
+        for c in gram:
+            h = (h ^ ord(c)) * int(lg.MIX) & mask
+            h ^= h >> 29
+        codes[gram] = h
+    signed = lambda g: codes[g] - (codes[g] >> 63 << 64)
+    profiles = {}
+    for lang in {x for i, t, x in docs if x is not None and t is not None and fold[i] != 1}:
+        own = sorted((hashlib.md5(str(i).encode()).hexdigest()[:8], i) for i, t, x in docs if x == lang and t is not None and fold[i] != 1)
+        total = sum((counts[i] for _, i in own[:15]), Counter())
+        profiles[lang] = {g: k for k, g in enumerate(sorted(total, key=lambda g: (-total[g], signed(g)))[: lg.SIZE])}
+    want = {}
+    for i, _, _ in docs:
+        top = sorted(counts[i], key=lambda g: (-counts[i][g], codes[g]))[: lg.SIZE]
+        out = {x: sum(min(abs(p[g] - k), lg.SIZE) if g in p else lg.SIZE for k, g in enumerate(top)) for x, p in profiles.items()}
+        best = min(out, key=lambda x: (out[x], x))
+        want[i] = (fold[i] == 1, best, 1 - out[best] / (lg.SIZE * len(top))) if top else (fold[i] == 1, "und", 0.0)
+    assert {r.doc_id: (r.held_out, r.lang_pred, r.score) for r in lg.op1(spark, small).collect()} == want
