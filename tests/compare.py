@@ -81,7 +81,7 @@ if __name__ == "__main__":
     for n in names or __spark_entry__.queries():
         t = time.time()
         try:
-            said = compare(s, n, d) or "same"
+            said = compare(s, n, d) or ("same" if n in __spark_entry__.oracle_sql() else "no SQL")
         except Exception as e:  # reported, and the next one runs
             said = f"{type(e).__name__}: {str(e)[:900]}"
         print(n, said, f"{time.time() - t:.1f} s", flush=True)
