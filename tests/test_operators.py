@@ -1,4 +1,6 @@
 import json
+import random
+import re
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -109,6 +111,19 @@ def test_schedule(spark):
     assert recent[15] == 16 and recent[49] == 30
 
 
+def test_rolling_usage_of_busy_intervals(spark):
+    r = random.Random(7)
+    rows = [(i, r.choice([None, 0, 1]), None if i % 50 == 0 else r.randrange(-3_000_000, 9_000_000) // 250_000 * 250_000) for i in range(2000)]
+    calls = spark.createDataFrame(rows, "call_id long, key_id long, us long").withColumn("ts", F.timestamp_micros("us"))
+    near = lambda t, u: u == t if t is None or u is None else t - 2_000_000 <= u <= t
+    want = {i: sum(k == m and near(t, u) for _, m, u in rows) for i, k, t in rows}
+    found = schedule.rolling_usage(calls, "ts", "key_id", 2)
+    assert {x.call_id: x.n_recent for x in found.collect()} == want and found.columns == [*calls.columns, "n_recent"]
+    # a frame that slides over an interval would go over its rows again for each row
+    frames = re.findall(r"specifiedwindowframe\((.*?)\)", found._jdf.queryExecution().optimizedPlan().toString(), re.I)
+    assert frames and all("unboundedpreceding$" in f for f in frames)
+
+
 def test_profile(spark):
     df = spark.createDataFrame([("a",)] * 3 + [("b",)] * 3, "k string")
     r = profile.balance(df, "k").first()

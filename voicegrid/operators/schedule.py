@@ -57,13 +57,16 @@ def usage(df: DataFrame, ts: str, key: str | Column, width: str = "1 minute") ->
 def rolling_usage(df: DataFrame, ts: str, key: str, seconds: int = 60) -> DataFrame:
     """Rows with `n_recent`, the calls of the same key in the `seconds` up to and with this one.
 
-    Each row also goes to the next time bucket, where it counts only for others, so that windows are by key and bucket.
+    Windows are by key and time bucket. Each row also goes to the next bucket, where all rows of the bucket before count from the start
+    and each leaves once it is too old. So counts are running sums, which don't go over the rows of an interval again for each row.
     """
-    at = F.unix_micros(F.col(ts).cast("timestamp"))
-    rows = df.withColumn("_t", at).withColumn("_b", F.floor(F.col("_t") / (seconds * 1_000_000)))
-    rows = rows.withColumn("_d", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("_b", F.col("_b") + F.col("_d"))
-    w = Window.partitionBy(key, "_b").orderBy("_t").rangeBetween(-seconds * 1_000_000, 0)
-    return rows.withColumn("n_recent", F.count("*").over(w)).filter("_d = 0").drop("_t", "_b", "_d")
+    at, width = F.unix_micros(F.col(ts).cast("timestamp")), seconds * 1_000_000
+    rows = df.withColumn("_t", at).withColumn("_b", F.floor(F.col("_t") / width))
+    rows = rows.withColumn("_d", F.explode(F.when(F.col("_t").isNull(), F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))))
+    rows = rows.withColumns({"_b": F.col("_b") + F.col("_d"), "_t": F.col("_t") + F.col("_d") * (width + 1)})
+    bucket = Window.partitionBy(key, "_b")
+    so_far = F.sum(1 - 2 * F.col("_d")).over(bucket.orderBy("_t").rangeBetween(Window.unboundedPreceding, 0))
+    return rows.withColumn("n_recent", F.sum("_d").over(bucket) + so_far).filter("_d = 0").drop("_t", "_b", "_d")
 
 
 def admitted(df: DataFrame, ts: str, key: str, call: str, unit: str = "minute", most: int = PER_MINUTE) -> DataFrame:
