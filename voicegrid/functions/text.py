@@ -11,6 +11,9 @@ SPACES = "[ \t\n\r\x0b\x0c 　]+"
 CONTROLS = "[\x00-\x08\x0e-\x1f\x7f]"
 #: Characters at the end of a post among which its ending is looked for; no polite ending is longer.
 TAIL = 32
+#: Characters no two of which, one after the other, are one visible character: up to U+02FF, written so that Java tells them fast, and Greek, Cyrillic, kana, Han and Hangul too.
+LATIN = "[^\r\xa9\xae\u0300-\U0010ffff]"
+SINGLE = "[\x00-\x0c\x0e-\xa8\xaa-\xad\xaf-\u02ff\u0370-\u0482\u048a-\u052f\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fff\uac00-\ud7a3]"
 EMOJI = "[\U0001f300-\U0001faff☀-➿]"
 
 
@@ -73,10 +76,17 @@ def decompose(x: Column) -> Column:
 def visible_length(x: Column) -> Column:
     """Characters as one sees them: extended grapheme clusters, so that joined emoji, flags, variation selectors and decomposed syllables count once.
 
-    ASCII without carriage returns has one character a code point; other texts go through Java's cluster automaton.
+    ASCII without carriage returns has one character a code point. In other texts runs of characters that are one each, among themselves, are
+    counted by length, but for their first and last ones, which may belong to a neighbour. Only these and the rest go through Java's cluster
+    automaton.
     """
     plain = F.octet_length(x) == F.length(x)
-    return F.when(plain & ~F.contains(x, F.lit("\r")), F.length(x)).otherwise(F.regexp_count(x, F.lit(r"\X"))).cast("bigint")
+    left = x
+    for one in (LATIN, SINGLE):
+        left = F.regexp_replace(left, f"(?<={one}){one}+(?={one})", "")
+    left = F.array(left)  # an array, so that it is made once
+    less = F.get(F.transform(left, lambda y: F.length(y) - F.regexp_count(y, F.lit(r"\X"))), F.lit(0))
+    return F.when(plain & ~F.contains(x, F.lit("\r")), F.length(x)).otherwise(F.length(x) - less).cast("bigint")
 
 
 def html_to_text(x: Column) -> Column:
