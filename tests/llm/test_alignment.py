@@ -75,3 +75,22 @@ def test_a_long_text_is_no_square(spark):
     df = spark.createDataFrame([(1, "unbelievablyinternationalized " * 40_000)], "doc_id long, text string")
     row = alignment.align(df).first()
     assert row.n_links == row.n_a + row.n_b - row.n_groups and row.n_groups >= 40_000
+
+
+def test_chunks_are_linked_once_and_side_by_side(monkeypatch):
+    """Texts of known chunks cost no tokenising or linking, whichever chunks the cache has let go."""
+    known = alignment.chunks_of((open(alignment.VOCABULARY, "rb").read(), open(alignment.MODEL, "rb").read()))
+    monkeypatch.setattr(alignment, "CACHE", 40)
+    r, width = random.Random(9), len(known.right.text)
+    words = ["nation", "ality", "éa,", "x\ny", "\n\n", "\tq ", "", "가나", "12.5", "▁", "<s>", "\x85", "a" * 70, "the", "\n z"]
+    texts = [t or "" for t in ODD] + [" ".join(r.choices(words, k=r.randrange(1, 12))) for _ in range(400)]
+    made = []
+    monkeypatch.setattr(known, "made", lambda c, make=known.made: made.extend(c) or make(c))
+    for some in (texts[i : i + 20] for i in range(0, len(texts), 20)):
+        for t, got in zip(some, known.encode(some), strict=True):
+            n_a, _, n_groups, n_links, *_, groups = plain([t])[0]
+            assert got is None and n_a == 0 or (got[0].decode(), got[2], len(got[1])) == (groups, n_a, 8 * n_links)
+    known.encode(texts[:5])
+    made.clear()
+    known.encode(texts[:5])
+    assert not made and known.encode(["nation " * 5])[0][1][:8] == (A.encode(" nation").ids[0] * width + B.encode("nation")[0]).to_bytes(8, "little")

@@ -1,105 +1,139 @@
 """Alignment of two tokenizers' tokens by the bytes that they cover.
 
-Python only tokenises: each text gets the ids of a byte-level BPE (A) and of a piece model (B), and with them the byte offset where
-each token ends. All else is Spark's own functions. Ends that both have (array_intersect) cut a text into groups. Links are found where
-either has an end: all ends, each packed with its side and its token's number, are sorted together; a token at place i of that
-order with number j has i - j tokens of the other side ending before it, and the next one of those is the one that it overlaps there. So a
-text of any length costs what sorting its ends costs, and no pair is tried that isn't a link. Group numbers are a sequence, whose
-members are turned into slices of both sides.
+Texts get the tokens of a byte-level BPE (A) and of a piece model (B). A text falls into chunks, cut before spaces that follow anything else; no
+token of either goes over such a cut, so each cut is an end that both have, and the groups and links of a text are those of its chunks side by side.
+Python tokenises a chunk and links its tokens once while it is remembered, all new chunks of a block of texts together by numpy: where either has an
+end, a link ends, and where both have one, a group. So a text of any length costs what its tokens cost, and no pair is tried that isn't a link.
+What a text costs beyond its new chunks is a look-up a chunk.
 
 Counts of id pairs over the corpus are summed in each task before the shuffle, so that a pair that every document has is one row a task. They
 meet the links again by a join: a broadcast if there are at most SMALL pairs (counted first), else a shuffle by pair of the links as summed by
 document, whose hot keys Spark splits.
 
-Python tokenises chunks, cut before spaces that follow anything else, once each while they are remembered; no token of either goes over such a cut.
-
 The aligned rows are saved once, with a number a link, under numbers of their own, so that rows that repeat, also with the same id, stay apart. Null and empty
 texts, and those whose tokens don't spell a space and the text, have no tokens: numbers are 0, the groups are empty. No rows in, no rows out.
 """
 
-import re
 from collections.abc import Iterator
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType
+from pyspark.sql.types import ArrayType, LongType, StringType
 
-from voicegrid.llm.chunks import LONG, ByteVocabulary, byte_vocabulary
-from voicegrid.llm.common import saved, shielded, table
+from voicegrid.llm.chunks import LONG, ByteVocabulary, byte_vocabulary, spaced
+from voicegrid.llm.common import saved, table
 from voicegrid.llm.pieces import MARK, MODEL, WHOLE, Vocabulary, blocks, vocabulary
 from voicegrid.llm.token_files import VOCABULARY
 
 SMALL, CACHE = 1_000_000, 200_000
-SIDE = 1 << 31
-SPACED = re.compile(r"(?<=\S)(?= )")
-_OWN = ("a_ids", "a_ends", "b_ids", "b_ends")
+_OWN = ("n_a", "n_b", "n_groups", "groups", "pairs")
+#: Groups (ids of A and B as text), links (A's id times the number of B's ids, and B's id, as bytes of longs) and the number of A's tokens.
+Links = tuple[bytes, bytes, int]
 
 
-class Chunks(dict):
-    """Ids of both tokenizers for a space and what follows up to the next one, as bytes of 32-bit integers; None if they don't spell it."""
+class Chunks:
+    """The links of texts by those of their chunks, each of which is a space and what follows; None if the tokens don't spell it."""
 
     def __init__(self, left: ByteVocabulary, right: Vocabulary):
-        self.left, self.right, self.older = left, right, {}
+        self.left, self.right, self.width = left, right, len(right.text)
+        self.sizes = [np.array([len(x) for x in v.text], np.int64) for v in (left, right)]
+        #: Ids as text with what comes after them: between tokens, at the end of A's in a group, of a group, of a chunk.
+        self.name = [f"{i}{x}" for i in range(max(map(len, self.sizes))) for x in ",|;\n"]
+        self.mark = np.frombuffer(right.packed[MARK], "=i4").tolist()
         #: A cut before each space that follows anything else is one for both tokenizers.
         self.cut = right.plain and right.word.pattern != WHOLE
-        super().__init__()
-
-    def __missing__(self, chunk: str) -> tuple[bytes, bytes] | None:
-        out = self.older[chunk] if chunk in self.older else self.made(chunk)
-        if len(chunk) <= LONG:
-            if len(self) >= CACHE:  # what was in use lately stays for a while
-                self.older = dict(self)
-                self.clear()
-            self[chunk] = out
-        return out
+        self.known: dict[str, Links | None] = {}
+        self.older: dict[str, Links | None] = {}
 
-    def made(self, chunk: str) -> tuple[bytes, bytes] | None:
+    def made(self, chunks: list[str]) -> list[Links | None]:
+        """The links of chunks without the space in front, of all of them at once: side by side they are one text, with an end of both after each."""
+        of_a = [e.ids for e in self.left.lib.encode_batch_fast([" " + c for c in chunks], add_special_tokens=False)]
         # a space alone, at the end of a text, is a piece there, where the empty text has none
-        (a,) = self.left.packed([chunk])
-        b = self.right.packed[MARK] if chunk == " " else np.array(self.right.lib.encode(chunk[1:]), "<u4").tobytes()
-        want = chunk.encode()
-        spelt = want == b"".join(map(self.left.text.__getitem__, memoryview(a).cast("I"))) == b"".join(map(self.right.text.__getitem__, memoryview(b).cast("I")))
-        return (a, b) if spelt else None
-
-    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
-        """Ids of a space and the text; None if they don't spell it or it is empty."""
-        spaced = " " + text
-        parts = SPACED.split(spaced) if self.cut and not self.left.whole(text) else [spaced]
-        found = list(map(self.__getitem__, parts)) if text else [None]
+        of_b = [x if c else self.mark for c, x in zip(chunks, self.right.lib.encode(chunks, num_threads=1), strict=True)]
+        want = [(" " + c).encode() for c in chunks]
+        a, b = (np.fromiter(chain.from_iterable(x), np.int64) for x in (of_a, of_b))
+        n_a, n_b = (np.cumsum([len(x) for x in of]) for of in (of_a, of_b))
+        ends_a, ends_b, ends = np.cumsum(self.sizes[0][a]), np.cumsum(self.sizes[1][b]), np.cumsum([len(x) for x in want])
+        found = [b"".join(map(v.text.__getitem__, x.tolist())) for v, x in ((self.left, a), (self.right, b))]
+        last = [np.concatenate([[0], e])[n] for e, n in ((ends_a, n_a), (ends_b, n_b))]
+        if not (found[0] == found[1] == b"".join(want) and all(np.array_equal(x, ends) for x in last)):
+            return self.made_apart(chunks, want, of_a, of_b)
+
+        # where either has an end, a link ends
+        at = np.union1d(ends_a, ends_b)
+        pairs = (a[np.searchsorted(ends_a, at)] * self.width + b[np.searchsorted(ends_b, at)]).astype("<i8").tobytes()
+        to = [0, *(8 * np.searchsorted(at, ends, "right")).tolist()]
+        cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        groups = [np.searchsorted(cuts, e) for e in (ends_a, ends_b)]
+        # tokens in the order of groups, those of A before those of B, each with what comes after it
+        count = [np.concatenate([[0], np.cumsum(np.bincount(g, minlength=len(cuts)))]) for g in groups]
+        codes = np.empty(len(a) + len(b), np.int64)
+        codes[np.arange(len(a)) + count[1][groups[0]]] = 4 * a + np.isin(ends_a, cuts, assume_unique=True)
+        codes[np.arange(len(b)) + count[0][groups[1] + 1]] = 4 * b + 2 * np.isin(ends_b, cuts, assume_unique=True) + np.isin(ends_b, ends)
+        text = "".join(map(self.name.__getitem__, codes.tolist())).encode().split(b"\n")
+        return [(text[i], pairs[to[i] : to[i + 1]], n) for i, n in enumerate(np.diff(n_a, prepend=0).tolist())]
+
+    def made_apart(self, chunks: list[str], want: list[bytes], of_a: list[list[int]], of_b: list[list[int]]) -> list[Links | None]:
+        """The same where the tokens of some chunks don't spell them."""
+        spelt = [w == b"".join([self.left.text[i] for i in x]) == b"".join([self.right.text[i] for i in y]) for w, x, y in zip(want, of_a, of_b, strict=True)]
+        good = [c for c, yes in zip(chunks, spelt, strict=True) if yes]
+        made = iter(self.made(good) if good else [])
+        return [next(made) if yes else None for yes in spelt]
+
+    def encode(self, texts: list[str]) -> list[Links | None]:
+        """The links of a space and each text; None if the tokens don't spell it or it is empty."""
+        # a text that mustn't be cut is a chunk; the space in front of a chunk isn't kept
+        split = [spaced(t) if self.cut and not self.left.whole(t) else [t] for t in texts]
+        need = set().union(*split) - self.known.keys()
+        if len(self.known) + len(need) > CACHE:  # what was in use lately stays for a while
+            self.older, self.known = self.known, {}
+            need = set().union(*split)
+        again = need & self.older.keys()
+        self.known |= {c: self.older[c] for c in again}
+        new = list(need - again)
+        self.known |= zip(new, self.made(new) if new else [], strict=True)
+        out = [self.whole(list(map(self.known.__getitem__, s))) if t else None for s, t in zip(split, texts, strict=True)]
+        for c in new:
+            if len(c) > LONG:
+                del self.known[c]
+        return out
+
+    @staticmethod
+    def whole(found: list[Links | None]) -> Links | None:
         if None in found:
             return None
-        return tuple(np.frombuffer(b"".join([x[k] for x in found]), "<u4").astype(np.int64) for k in (0, 1))
+        groups, pairs, n = zip(*found, strict=True)
+        return b";".join(groups), b"".join(pairs), sum(n)
 
 
-def tokenised(docs: DataFrame, a: str = VOCABULARY, b: str = MODEL, text_col: str = "text") -> DataFrame:
-    """The rows with the ids and byte ends of both tokenizers' tokens instead of the text; empty arrays where there are none."""
+def linked(docs: DataFrame, a: str = VOCABULARY, b: str = MODEL, text_col: str = "text") -> DataFrame:
+    """The rows with n_a, n_b, n_groups, `groups` (a text such as `a1,a2|b1;a3|b2,b3`) and `pairs` (a number a link: A's id times the number of B's ids,
+    and B's id, in order) instead of the text; zeros and nothing where there are no tokens."""
     context = docs.sparkSession.sparkContext
     both = context.broadcast((Path(a).read_bytes(), Path(b).read_bytes()))
     keep = [c for c in docs.columns if c not in (text_col, *_OWN)]
 
-    def lists(parts: list[np.ndarray]) -> pa.Array:
-        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(x) for x in parts])]), pa.int32()), pa.array(np.concatenate(parts), pa.int32()))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = chunks_of(both.value)
-        sizes, none = [np.array([len(x) for x in v.text], np.int64) for v in (known.left, known.right)], np.empty(0, np.int64)
         for batch in batches:
             texts = [t or "" for t in batch.column("_text").to_pylist()]
             for part in blocks(texts):
-                columns: list[list[np.ndarray]] = [[], [], [], []]
-                for i in part:
-                    x, y = known.encode(texts[i]) or (none, none)
-                    for c, m in zip(columns, (x, np.cumsum(sizes[0][x]), y, np.cumsum(sizes[1][y])), strict=True):
-                        c.append(m)
-                yield pa.record_batch([batch.column("_row").take(pa.array(part)), *map(lists, columns)], names=["_row", *_OWN])
+                found = [x or (b"", b"", 0) for x in known.encode([texts[i] for i in part])]
+                groups = [x[0] for x in found]
+                n_links, n_a, n_groups = (np.array(x, np.int64) for x in ([len(x[1]) // 8 for x in found], [x[2] for x in found], [g.count(b"|") for g in groups]))
+                # each link ends a token of A, of B, or both and with them a group
+                numbers = [pa.array(x) for x in (n_a, n_links + n_groups - n_a, n_groups)]
+                pairs = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n_links)]), pa.int32()), pa.array(np.frombuffer(b"".join([x[1] for x in found]), "<i8")))
+                yield pa.record_batch([batch.column("_row").take(pa.array(part)), *numbers, pa.array(groups, pa.string()), pairs], names=["_row", *_OWN])
 
     rows = docs.select(F.struct(*keep).alias("_row"), F.col(text_col).alias("_text"))
     schema = rows.select("_row").schema
-    for c in _OWN:
-        schema = schema.add(c, ArrayType(IntegerType(), False))
+    for c, kind in zip(_OWN, (LongType(), LongType(), LongType(), StringType(), ArrayType(LongType(), False)), strict=True):
+        schema = schema.add(c, kind)
     return rows.mapInArrow(run, schema).select("_row.*", *_OWN)
 
 
@@ -113,60 +147,8 @@ def chunks_of(models: tuple[bytes, bytes]) -> Chunks:
     return _known[models]
 
 
-def low(x: Column) -> Column:
-    """The number in the lower 32 bits, without its last bit."""
-    return F.shiftright(x.bitwiseAND(F.lit(0xFFFFFFFF)), 1).cast("int")
-
-
-def packed(ends: Column, side: int) -> Column:
-    """Each end with its side and its token's number, as longs in this order."""
-    return F.transform(ends, lambda e, i: F.shiftleft(e.cast("long"), 32) + (i + F.lit(side * SIDE)))
-
-
-def aligned(rows: DataFrame) -> DataFrame:
-    """Rows of `tokenised` with `links`, an array of longs (A's number above the 32nd bit, B's number times 2, and 1 where both end), in order."""
-    keep = F.struct(*rows.columns)
-    rows = shielded(keep, {"_m": F.sort_array(F.concat(packed(F.col("a_ends"), 0), packed(F.col("b_ends"), 1)))}, rows)
-
-    def link(m: Column, i: Column) -> Column:
-        number, end = m.bitwiseAND(F.lit(SIDE - 1)).cast("int"), F.shiftright(m, 32).cast("int")
-        other = i - number
-        of_a = F.shiftleft(number.cast("long"), 32) + (2 * other + F.when(F.get("b_ends", other) == end, 1).otherwise(0))
-        of_b = F.when((other == 0) | (F.get("a_ends", other - 1) != end), F.shiftleft(other.cast("long"), 32) + 2 * number)
-        return F.when(m.bitwiseAND(F.lit(SIDE)) == 0, of_a).otherwise(of_b)
-
-    return shielded(F.struct(*[c for c in rows.columns if c != "_m"]), {"links": F.array_compact(F.transform("_m", link))}, rows)
-
-
-def grouped(rows: DataFrame) -> DataFrame:
-    """Rows of `aligned` with n_groups and `groups`: a text such as `a1,a2|b1;a3|b2,b3`, the ids of each group in order."""
-    cuts = F.filter("links", lambda x: x.bitwiseAND(1) == 1)
-    rows = shielded(F.struct(*rows.columns), {"_cuts": cuts}, rows)
-    before = F.array(F.lit(-1))  # the last token before the first group
-    made = {
-        "n_groups": F.size(F.array_intersect("a_ends", "b_ends")), "_a": F.col("a_ids").cast("array<string>"), "_b": F.col("b_ids").cast("array<string>"),
-        "_to_a": F.concat(before, F.transform("_cuts", lambda x: F.shiftright(x, 32).cast("int"))), "_to_b": F.concat(before, F.transform("_cuts", low)),
-    }
-    out = shielded(F.struct(*rows.columns), made, rows)
-
-    def part(ids: str, to: str, k: Column) -> Column:
-        """The ids of group k, from the token after the group before to its own last one."""
-        last, own = F.get(to, k - 1), F.get(to, k)
-        return F.when(own - last == 1, F.get(ids, own)).otherwise(F.array_join(F.slice(ids, last + 2, own - last), ","))
-
-    numbers = F.when(F.col("n_groups") > 0, F.sequence(F.lit(1), F.col("n_groups"))).otherwise(F.array().cast("array<int>"))
-    text = F.array_join(F.transform(numbers, lambda k: F.concat(part("_a", "_to_a", k), F.lit("|"), part("_b", "_to_b", k))), ";")
-    return out.withColumn("groups", text).drop("_cuts", "_a", "_b", "_to_a", "_to_b")
-
-
-def with_pairs(rows: DataFrame, width: int) -> DataFrame:
-    """Rows of `aligned` with `pairs`, a number a link: A's id times `width`, more than any id of B, and B's id."""
-    a, b = (lambda x: F.get("a_ids", F.shiftright(x, 32).cast("int"))), (lambda x: F.get("b_ids", low(x)))
-    return rows.withColumn("pairs", F.transform("links", lambda x: a(x).cast("long") * width + b(x)))
-
-
 def pair_counts(rows: DataFrame, width: int) -> DataFrame:
-    """pair, n (links of that pair in all rows of `with_pairs`) and best (whether no other A id has more with that B id)."""
+    """pair, n (links of that pair in all rows of `linked`) and best (whether no other A id has more with that B id)."""
     n = rows.select(F.explode("pairs").alias("pair")).groupBy("pair").agg(F.count("*").alias("n"))
     most = n.groupBy((F.col("pair") % width).alias("b_id")).agg(F.max("n").alias("_most"))
     return n.join(most, F.col("pair") % width == F.col("b_id")).select("pair", "n", (F.col("n") == F.col("_most")).alias("best"))
@@ -177,11 +159,9 @@ def align(docs: DataFrame, a: str = VOCABULARY, b: str = MODEL, text_col: str =
     about as long as the text several times over ('' stays)."""
     own = ("n_a", "n_b", "n_groups", "groups", "n_links", "n_best", "count_sum")
     keep, width = [c for c in docs.columns if c not in (text_col, *own)], len(vocabulary(Path(b).read_bytes()).text)
-    rows = tokenised(docs.select(F.monotonically_increasing_id().alias("_id"), F.struct(*keep).alias("_kept"), F.col(text_col).alias("_t")), a, b, "_t")
-    rows = with_pairs(grouped(aligned(rows)), width)
+    rows = linked(docs.select(F.monotonically_increasing_id().alias("_id"), F.struct(*keep).alias("_kept"), F.col(text_col).alias("_t")), a, b, "_t")
     groups = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)) if digest else F.col("groups")
-    sizes = [F.size(x).cast("long").alias(n) for n, x in (("n_a", "a_ids"), ("n_b", "b_ids"), ("n_links", "links"))]
-    rows = saved(rows.select("_id", "_kept", *sizes, F.col("n_groups").cast("long").alias("n_groups"), groups.alias("groups"), "pairs"))
+    rows = saved(rows.select("_id", "_kept", "n_a", "n_b", F.size("pairs").cast("long").alias("n_links"), "n_groups", groups.alias("groups"), "pairs"))
     counts = saved(pair_counts(rows, width))
     each = rows.select("_id", F.explode("pairs").alias("pair"))
     if counts.count() <= small:
