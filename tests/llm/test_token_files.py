@@ -105,3 +105,13 @@ def test_a_third_of_rows_with_one_id(spark, tmp_path):
     assert got.agg(F.sum("n_tokens")).first()[0] == 27_000 and got.select("start").distinct().count() == 9000
     parts = spark.read.parquet(f"{at}/index").groupBy("part").count().collect()
     assert len(parts) > 1 and max(p["count"] for p in parts) < 4500
+
+
+def test_new_chunks_of_a_block_are_few_texts(monkeypatch):
+    """New chunks go to the library as lines of one text, but for those that aren't one line or hold an added token."""
+    known, sent = chunks.ByteVocabulary(open(PATH, "rb").read(), False), []
+    monkeypatch.setattr(known, "packed", lambda texts, packed=known.packed: sent.extend(texts) or packed(texts))
+    texts = [f" w{i}, 'll x{i}y\n" for i in range(500)] + ODD + ["<|endoftext|>", "\n"]
+    for some in (texts, texts[::-1], [], [""]):
+        assert [np.frombuffer(x, "<u4").tolist() for x in known.encode(some)] == [LIB.encode(t, add_special_tokens=False).ids for t in some]
+    assert len(sent) < 50

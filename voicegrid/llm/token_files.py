@@ -37,11 +37,12 @@ HEAD, FOOT, MAGIC = struct.Struct("<IBHH"), struct.Struct("<QQQ"), 0x3152464F50
 INDEX = "part int, file string, doc_id long, first long, n_tokens long"
 
 
-def pack(ids: np.ndarray, percentile: float = PERCENTILE) -> bytes:
+def pack(ids: np.ndarray, percentile: int = PERCENTILE) -> bytes:
     """One block of at most 65,535 ids."""
     low = int(ids.min())
     above = ids.astype(np.uint32) - np.uint32(low)
-    width = int(np.percentile(above, percentile, method="inverted_cdf")).bit_length()
+    nth = max(-(-percentile * len(ids) // 100) - 1, 0)
+    width = int(np.partition(above, nth)[nth]).bit_length()
     least = above.astype(np.uint16) if width <= 16 else above
     planes = b"".join(np.packbits((least >> k & 1).astype(bool), bitorder="little").tobytes() for k in range(width))
     places = np.flatnonzero(above >> np.uint32(width)) if width < 32 else np.empty(0, np.int64)
