@@ -29,7 +29,7 @@ from voicegrid.llm.common import saved, table
 from voicegrid.llm.pieces import MARK, MODEL, WHOLE, Vocabulary, blocks, vocabulary
 from voicegrid.llm.token_files import VOCABULARY
 
-SMALL, CACHE = 1_000_000, 200_000
+SMALL, CACHE = 1_000_000, 100_000
 _OWN = ("n_a", "n_b", "n_groups", "groups", "pairs")
 #: Groups (ids of A and B as text), links (A's id times the number of B's ids, and B's id, as bytes of longs) and the number of A's tokens.
 Links = tuple[bytes, bytes, int]
